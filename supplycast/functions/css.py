@@ -1,0 +1,138 @@
+"""Conditional-sum-of-squares fit of one seasonal ARIMA candidate (numpy)."""
+
+from __future__ import annotations
+
+import sys
+
+import numpy as np
+from pyspark import cloudpickle
+
+# Ship these helpers with the tasks, so executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _seasonal(coef, period: int) -> np.ndarray:
+    """Lag polynomial 1 + c1 B^period + c2 B^(2 period) ..."""
+    poly = np.zeros(len(coef) * period + 1)
+    poly[0] = 1.0
+    poly[period::period] = coef
+    return poly
+
+
+def _polynomials(params, order, period):
+    """Autoregressive and moving-average lag polynomials, and the mean."""
+    p, q, sp, sq, _ = order
+    cuts = np.cumsum([p, q, sp, sq])
+    ar, ma, sar, sma, mean = np.split(params, cuts)
+    ar_poly = np.convolve(_seasonal(-ar, 1), _seasonal(-sar, period))
+    ma_poly = np.convolve(_seasonal(ma, 1), _seasonal(sma, period))
+    return ar_poly, ma_poly, float(mean[0]) if len(mean) else 0.0
+
+
+def _admissible(poly) -> bool:
+    """All roots outside the unit circle."""
+    poly = np.trim_zeros(poly, "b")
+    return len(poly) <= 1 or bool(np.all(np.abs(np.roots(poly[::-1])) > 1.001))
+
+
+def _errors(w, params, order, period) -> np.ndarray:
+    """One-step errors with zero values before the sample."""
+    ar_poly, ma_poly, mean = _polynomials(params, order, period)
+    e = np.convolve(w - mean, ar_poly)[: len(w)]
+    lags = [(j, c) for j, c in enumerate(ma_poly) if j and c]
+    if lags:
+        e = e.tolist()
+        for t in range(len(e)):
+            e[t] -= sum(c * e[t - j] for j, c in lags if t >= j)
+    return np.array(e)
+
+
+def _least_squares(w, order, period, rounds: int = 40) -> np.ndarray:
+    """Damped Gauss-Newton on the errors; inadmissible steps are refused."""
+    size = sum(order)
+    params = np.full(size, 0.05)
+    if order[-1]:
+        params[-1] = w.mean()
+    e = _errors(w, params, order, period)
+    damping = 1e-2
+    for _ in range(rounds):
+        shift = 1e-6 * np.maximum(1.0, np.abs(params))
+        jac = np.column_stack(
+            [
+                (_errors(w, params + shift[i] * np.eye(size)[i], order, period) - e) / shift[i]
+                for i in range(size)
+            ]
+        )
+        normal, grad = jac.T @ jac, jac.T @ e
+        improved = False
+        while damping < 1e8:
+            scale = damping * np.diag(np.maximum(np.diag(normal), 1e-12))
+            trial = params - np.linalg.solve(normal + scale, grad)
+            ar_poly, ma_poly, _ = _polynomials(trial, order, period)
+            if _admissible(ar_poly) and _admissible(ma_poly):
+                e_trial = _errors(w, trial, order, period)
+                if e_trial @ e_trial < e @ e:
+                    improved = e @ e - e_trial @ e_trial > 1e-9 * (e @ e)
+                    params, e, damping = trial, e_trial, damping / 5
+                    break
+            damping *= 4
+        if not improved:
+            break
+    return params
+
+
+def fit(y, p, d, q, sp, sd, sq, period, constant, horizon):
+    """Fit one candidate and forecast ``horizon`` steps.
+
+    Returns a dict with the criteria, coefficients, residuals of the last
+    differenced values, point forecasts and their standard errors, or a
+    ``reason`` when the candidate cannot be fitted.
+    """
+    y = np.asarray(y, float)
+    order = (p, q, sp, sq, int(constant))
+    integration = np.ones(1)
+    for _ in range(d):
+        integration = np.convolve(integration, [1.0, -1.0])
+    for _ in range(sd):
+        integration = np.convolve(integration, _seasonal([-1.0], period))
+    lost = len(integration) - 1
+    w = np.convolve(y, integration)[lost : len(y)]
+    k = sum(order) + 1
+    if len(w) < max(k + 2, p + q + (sp + sq) * period + 2) or np.isnan(w).any():
+        return {"reason": "series too short"}
+    try:
+        params = _least_squares(w, order, period) if sum(order) else np.zeros(0)
+    except np.linalg.LinAlgError:
+        return {"reason": "singular"}
+    ar_poly, ma_poly, mean = _polynomials(params, order, period)
+    e = _errors(w, params, order, period)
+    n = len(w)
+    sse = float(e @ e)
+    if not np.isfinite(sse) or sse <= 0:
+        return {"reason": "no residual variation"}
+    lik = n * (np.log(2 * np.pi * sse / n) + 1)
+    full = np.convolve(ar_poly, integration)
+    level = mean * ar_poly.sum()
+    path, errors = list(y), list(np.concatenate([np.zeros(lost), e]))
+    psi = []
+    for h in range(horizon):
+        value = level
+        value -= sum(c * path[-j] for j, c in enumerate(full) if j and j <= len(path))
+        value += sum(c * errors[-j] for j, c in enumerate(ma_poly) if j and j <= len(errors))
+        path.append(value)
+        errors.append(0.0)
+        weight = ma_poly[h] if h < len(ma_poly) else 0.0
+        weight -= sum(full[j] * psi[h - j] for j in range(1, min(h, len(full) - 1) + 1))
+        psi.append(weight)
+    sigma2 = sse / max(n - k + 1, 1)
+    return {
+        "coefficients": params.tolist(),
+        "sigma2": sigma2,
+        "loglik": -lik / 2,
+        "aic": lik + 2 * k,
+        "aicc": lik + 2 * k + 2 * k * (k + 1) / max(n - k - 1, 1e-9),
+        "bic": lik + k * np.log(n),
+        "residuals": e.tolist(),
+        "mean": path[len(y) :],
+        "se": np.sqrt(sigma2 * np.cumsum(np.square(psi))).tolist(),
+    }
