@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 from supplycast.functions import smoothers
 
 
-def interpolate(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Linear inside, constant at the ends; adds ``filled`` and ``is_imputed``."""
+def interpolate(
+    df: DataFrame, keys: list[str], value: str = "value", output: str = "filled"
+) -> DataFrame:
+    """Linear inside, constant at the ends; adds ``output`` and ``is_imputed``."""
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("t"), F.col(value).alias("v")))
     series = Window.partitionBy(*keys)
     so_far = Window.unboundedPreceding, Window.currentRow
@@ -30,7 +32,7 @@ def interpolate(df: DataFrame, keys: list[str], value: str = "value") -> DataFra
     return (
         df.withColumn("_before", before)
         .withColumn("_after", after)
-        .withColumns({"filled": filled, "is_imputed": F.col(value).isNull()})
+        .withColumns({output: filled, "is_imputed": F.col(value).isNull()})
         .drop("_before", "_after")
     )
 
@@ -51,11 +53,9 @@ def _median_pass(df: DataFrame, keys: list[str], reach: int) -> DataFrame:
             "_kept": F.when(~(F.col("is_outlier") | is_outlier), F.col("fixed")),
         }
     )
-    return (
-        interpolate(marked.drop("fixed", "is_imputed"), keys, "_kept")
-        .withColumnRenamed("filled", "fixed")
-        .drop("_rest", "_q", "_kept", "is_imputed")
-    )
+    was_imputed = marked.withColumnRenamed("is_imputed", "_was") if "is_imputed" in df.columns else marked
+    out = interpolate(was_imputed, keys, "_kept", "fixed").drop("_rest", "_q", "_kept", "is_imputed")
+    return out.withColumnRenamed("_was", "is_imputed")
 
 
 def median_outliers(

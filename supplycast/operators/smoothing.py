@@ -107,6 +107,20 @@ def _best_start(ys: Column, alpha: Column, beta: Column, phi: Column) -> Column:
     return F.aggregate(ys, F.struct(*[v.alias(k) for k, v in start.items()]), step, finish)
 
 
+def _candidate(phi: Column, points: int, centre_a: Column, centre_r: Column, half: float):
+    """Evaluate cell ``i`` of the grid around the given weight and share."""
+
+    def spread(centre: Column, k: Column) -> Column:
+        value = centre + half * (2.0 * k / (points - 1) - 1.0)
+        return F.least(F.greatest(value, F.lit(1e-4)), F.lit(0.9999))
+
+    def evaluate(i: Column) -> Column:
+        alpha = spread(centre_a, F.floor(i / points))
+        return _best_start(F.col("ys"), alpha, alpha * spread(centre_r, i % points), phi)
+
+    return evaluate
+
+
 def holt_fit(
     packed: DataFrame,
     keys: list[str],
@@ -122,19 +136,10 @@ def holt_fit(
     p = F.lit(phi)
     out = packed
     centre_a, centre_r, half = F.lit(0.5), F.lit(0.5), 0.4999
-    for round_ in range(rounds):
+    for _ in range(rounds):
         cells = F.sequence(F.lit(0), F.lit(points * points - 1))
-
-        def candidate(i: Column, ca=centre_a, cr=centre_r, half=half) -> Column:
-            def spread(centre, k):
-                value = centre + half * (2.0 * k / (points - 1) - 1.0)
-                return F.least(F.greatest(value, F.lit(1e-4)), F.lit(0.9999))
-
-            alpha = spread(ca, F.floor(i / points))
-            share = spread(cr, i % points)
-            return _best_start(F.col("ys"), alpha, alpha * share, p)
-
-        out = out.withColumn("_best", F.array_min(F.transform(cells, candidate)))
+        tried = F.transform(cells, _candidate(p, points, centre_a, centre_r, half))
+        out = out.withColumn("_best", F.array_min(tried))
         centre_a = F.col("_best.alpha")
         centre_r = F.col("_best.beta") / F.col("_best.alpha")
         half = half * 2.2 / (points - 1)
@@ -297,6 +302,27 @@ def _criteria(run: Column, n: Column, k: int, error: str) -> Column:
     return F.coalesce(lik + 2 * k + correction, F.lit(WORST))
 
 
+def _runner(ys: Column, at: Column, season: str, freq: int):
+    def run(w: Column) -> Column:
+        fold = _ets_fold(ys, w, at["l"], at["b"], at["s"], season, freq)
+        return F.struct(fold.alias("run"), w.alias("w"))
+
+    return run
+
+
+def _scored(n: Column, k: int, error: str, form: str):
+    def score(c: Column) -> Column:
+        return F.struct(
+            _criteria(c["run"], n, k, error).alias("aicc"),
+            F.lit(form).alias("form"),
+            F.lit(k).alias("k"),
+            c["w"].alias("w"),
+            c["run"].alias("run"),
+        )
+
+    return score
+
+
 def ets_fit(packed: DataFrame, keys: list[str], freq: int = 1) -> DataFrame:
     """Model with the least corrected AIC among error x trend x season forms.
 
@@ -321,6 +347,9 @@ def ets_fit(packed: DataFrame, keys: list[str], freq: int = 1) -> DataFrame:
             start = f"_start_{trend}_{season}"
             out = out.withColumn(start, F.struct(l0.alias("l"), b0.alias("b"), s0.alias("s")))
             at = F.col(start)
+            # one set of runs serves both error forms
+            runs = f"_runs_{trend}_{season}"
+            out = out.withColumn(runs, F.transform(grid, _runner(ys, at, season, freq)))
             k = 3 + {"N": 0, "A": 2, "Ad": 3}[trend] + (freq if season != "N" else 0)
             for error in ("A", "M"):
                 if (error, season) == ("A", "M"):
@@ -329,24 +358,9 @@ def ets_fit(packed: DataFrame, keys: list[str], freq: int = 1) -> DataFrame:
                 if "M" in (error, season):
                     allowed = allowed & positive
 
-                def candidate(w, season=season, k=k, error=error, at=at):
-                    run = _ets_fold(ys, w, at["l"], at["b"], at["s"], season, freq)
-                    return F.struct(run.alias("run"), w.alias("w"))
-
-                def scored(c, k=k, error=error, trend=trend, season=season):
-                    return F.struct(
-                        _criteria(c["run"], n, k, error).alias("aicc"),
-                        F.lit(f"{error},{trend},{season}").alias("form"),
-                        F.lit(k).alias("k"),
-                        c["w"].alias("w"),
-                        c["run"].alias("run"),
-                    )
-
                 name = f"_best_{error}_{trend}_{season}"
-                runs = F.transform(grid, candidate)
-                out = out.withColumn(
-                    name, F.when(allowed, F.array_min(F.transform(runs, scored)))
-                )
+                scored = F.transform(runs, _scored(n, k, error, f"{error},{trend},{season}"))
+                out = out.withColumn(name, F.when(allowed, F.array_min(scored)))
                 winners.append(F.col(name))
     best = out.withColumn("_best", F.array_min(F.array_compact(F.array(*winners))))
     b = F.col("_best")
