@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -41,12 +43,19 @@ def zscore(df: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
     return df.withColumns({f"z_{c}": expr for c, expr in scaled.items()})
 
 
-def with_vector(df: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
-    """Scaled features as one vector column, written once for the iterative fits."""
-    z = [f"z_{c}" for c in columns]
-    return materialize(zscore(df, columns), "features").withColumn(
-        "features", array_to_vector(F.array(*z))
-    )
+def with_vector(
+    kpis: DataFrame, columns: list[str] = FEATURES, order_by: str = "seller_id"
+) -> DataFrame:
+    """Scaled features as one vector column.
+
+    KPIs and features are written once: the scaling reads the KPIs twice and
+    the iterative fits read the features many times, and neither may start
+    over from the items.  The rows are ordered, because random starts depend
+    on where a row lies.
+    """
+    scaled = zscore(materialize(kpis, "kpis"), columns)
+    vector = array_to_vector(F.array(*[f"z_{c}" for c in columns]))
+    return materialize(scaled.orderBy(order_by), "features").withColumn("features", vector)
 
 
 def nearest_centre(df: DataFrame, columns: list[str], centres: list[list[float]]) -> DataFrame:
@@ -66,10 +75,30 @@ def nearest_centre(df: DataFrame, columns: list[str], centres: list[list[float]]
     return df.withColumn("cluster", F.array_min(choices)["label"].cast("string"))
 
 
-def fit_kmeans(df: DataFrame, k: int, seeds: range = range(10), max_iter: int = 50) -> KMeansModel:
+def fit_kmeans(df: DataFrame, k: int, seeds: range = range(10)) -> KMeansModel:
     """Best of several starts by within-cluster cost."""
-    models = [KMeans(k=k, seed=s, maxIter=max_iter).fit(df) for s in seeds]
-    return min(models, key=lambda m: m.summary.trainingCost)
+    return fit_all(df, [(k, seed) for seed in seeds])[k]
+
+
+def fit_all(
+    df: DataFrame, starts: list[tuple[int, int]], max_iter: int = 50, threads: int = 8
+) -> dict[int, KMeansModel]:
+    """Best model per k over ``(k, seed)`` starts, fitted side by side.
+
+    The fits are many short jobs; submitting several at once keeps the
+    executors busy between their iterations.
+    """
+
+    def fit(start: tuple[int, int]) -> KMeansModel:
+        return KMeans(k=start[0], seed=start[1], maxIter=max_iter).fit(df)
+
+    with ThreadPoolExecutor(threads) as pool:
+        models = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), starts))
+    best: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(starts, models):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def stable_labels(df: DataFrame, prediction: str, order_by: str) -> DataFrame:
@@ -175,11 +204,12 @@ def choose_k(
     wide = range(max(1, candidates.start - 1), candidates.stop + 1)
     parts, silhouette = [], {}
     evaluator = ClusteringEvaluator()
+    models = fit_all(features, [(k, seed) for k in wide if k > 1 for seed in seeds])
     for k in wide:
         if k == 1:
             parts.append(features.select(*z, F.lit(0).alias("prediction"), F.lit(1).alias("k")))
             continue
-        labelled = fit_kmeans(features, k, seeds).transform(features)
+        labelled = models[k].transform(features)
         if k in candidates:
             silhouette[k] = evaluator.evaluate(labelled)
         parts.append(labelled.select(*z, "prediction", F.lit(k).alias("k")))

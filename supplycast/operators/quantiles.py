@@ -11,7 +11,7 @@ def exact_quantiles(
     keys: list[str],
     value: str,
     probs: dict[str, float],
-    buckets: int = 128,
+    buckets: int = 64,
 ) -> DataFrame:
     """Linear-interpolation quantiles per key, one column per entry of ``probs``.
 
@@ -20,11 +20,15 @@ def exact_quantiles(
     those are sorted.  The cut points come from a sketch, but they only
     influence how even the ranges are, not the result.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count("*").alias("_n"))
-    )
+    return _from_counts(value_counts(df, keys, value), keys, value, probs, buckets)
+
+
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    known = df.where(F.col(value).isNotNull())
+    return known.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+
+
+def _from_counts(counts, keys, value, probs, buckets=64) -> DataFrame:
     grid = [i / buckets for i in range(1, buckets)]
     cuts = counts.groupBy(*keys).agg(
         F.percentile_approx(value, grid, 1000).alias("_cuts"), F.sum("_n").alias("_total")
@@ -91,21 +95,20 @@ def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
 
 def box_stats(df: DataFrame, keys: list[str], columns: list[str], reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at ``reach`` x IQR and outlier count of each column."""
-    long = unpivot(df, keys, columns)
     by = [*keys, "metric"]
-    quartiles = exact_quantiles(long, by, "value", QUARTILES)
+    counts = value_counts(unpivot(df, keys, columns), by, "value")
+    quartiles = _from_counts(counts, by, "value", QUARTILES)
     iqr = F.col("q3") - F.col("q1")
     low, high = F.col("q1") - reach * iqr, F.col("q3") + reach * iqr
     inner = F.when(F.col("value").between(low, high), F.col("value"))
     return (
-        long.where("value IS NOT NULL")
-        .join(quartiles, by)
+        counts.join(quartiles, by)
         .groupBy(*by, "q1", "median", "q3")
         .agg(
-            F.count("*").alias("n"),
+            F.sum("_n").alias("n"),
             F.min(inner).alias("whisker_low"),
             F.max(inner).alias("whisker_high"),
-            F.sum(F.when(inner.isNull(), 1).otherwise(0)).alias("n_outliers"),
+            F.sum(F.when(inner.isNull(), F.col("_n")).otherwise(0)).alias("n_outliers"),
         )
     )
 

@@ -73,20 +73,17 @@ def median_outliers(
 
 def smooth_outliers(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """As ``median_outliers`` with the super smoother as trend, in parallel over series."""
-    kept = [*keys, "t", value]
-    fields = [df.schema[name] for name in kept]
     schema = T.StructType(
-        fields
+        df.schema.fields
         + [T.StructField("fixed", T.DoubleType()), T.StructField("is_outlier", T.BooleanType())]
     )
 
-    def repair(series: pd.DataFrame) -> pd.DataFrame:
+    def mend(series: pd.DataFrame) -> pd.DataFrame:
         series = series.sort_values("t", ignore_index=True)
         fixed, is_outlier = smoothers.replace_outliers(series[value].to_numpy(float))
         return series.assign(fixed=fixed, is_outlier=is_outlier)
 
-    fixed = df.select(*kept).groupBy(*keys).applyInPandas(repair, schema)
-    return df.join(fixed.drop(value), [*keys, "t"])
+    return df.groupBy(*keys).applyInPandas(mend, schema)
 
 
 def repair(

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from supplycast.sources.scratch import materialize
+
 STEP = {"day": "1 day", "week": "7 days", "month": "1 month"}
 
 
@@ -28,6 +30,10 @@ def spine(
     The calendar is common to all series and defaults to the extent of the
     facts.  It is generated per series row, without a join.
     """
+    return _calendar(materialize(facts.select(*keys, "ds"), "calendar"), keys, grain, start, end)
+
+
+def _calendar(facts, keys, grain, start, end) -> DataFrame:
     first, last = _bound(facts, start, F.min), _bound(facts, end, F.max)
     days = F.sequence(first, last, F.expr(f"interval {STEP[grain]}"))
     if not keys:
@@ -44,9 +50,11 @@ def densify(
 ) -> DataFrame:
     """Left join of the facts on the calendar; ``is_padding`` marks periods before the data.
 
-    ``t`` counts periods from 1.
+    ``t`` counts periods from 1.  The facts are written once, because extent,
+    keys and values read them, and recomputing them reads all items again.
     """
-    calendar = spine(facts, keys, grain, start, end)
+    facts = materialize(facts, "facts")
+    calendar = _calendar(facts, keys, grain, start, end)
     first_seen = facts.agg(F.min("ds")).scalar()
     begin = _bound(facts, start, F.min)
     return calendar.join(facts, [*keys, "ds"], "left").withColumns(
@@ -115,12 +123,17 @@ def seasonal_diff(df: DataFrame, keys: list[str], lag: int, value: str = "value"
     return df.withColumn("diff", F.col(value) - F.lag(value, lag).over(by_time))
 
 
-def pack(df: DataFrame, keys: list[str], value: str = "value", day: str = "ds") -> DataFrame:
+def pack(
+    df: DataFrame, keys: list[str], value: str = "value", day: str = "ds", tasks: int | None = None
+) -> DataFrame:
     """One row per series with the values in time order.
 
     The length of a series is bounded by its calendar, whatever the number of
-    order items behind it.
+    order items behind it.  ``tasks`` fixes the number of partitions ahead of
+    costly fits, where few bytes stand for much work.
     """
+    if tasks:
+        df = df.repartition(tasks, *keys)
     points = F.array_sort(F.collect_list(F.struct(F.col("t"), F.col(value).alias("y"))))
     return df.groupBy(*keys).agg(
         F.transform(points, lambda p: p["y"].cast("double")).alias("ys"),

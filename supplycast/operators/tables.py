@@ -26,38 +26,40 @@ def contingency(df: DataFrame, rows: str, columns: str) -> DataFrame:
 
 def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     """Agreement of two labelings: cells, expected index and adjusted Rand index."""
-    cells = df.groupBy(a, b).agg(F.count("*").cast("double").alias("n"))
-
-    def pairs(n):
-        return n * (n - 1) / 2
-
-    rows = cells.groupBy(a).agg(F.sum("n").alias("m")).agg(F.sum(pairs(F.col("m")))).scalar()
-    cols = cells.groupBy(b).agg(F.sum("n").alias("m")).agg(F.sum(pairs(F.col("m")))).scalar()
-    totals = cells.agg(
-        F.sum(pairs(F.col("n"))).alias("same_both"),
-        F.sum("n").alias("n"),
-    ).withColumns({"same_a": rows, "same_b": cols})
-    expected = F.try_divide(F.col("same_a") * F.col("same_b"), pairs(F.col("n")))
-    ceiling = (F.col("same_a") + F.col("same_b")) / 2
-    return totals.select(
-        F.col("n").cast("bigint").alias("n"),
-        F.try_divide(F.col("same_both") - expected, ceiling - expected).alias("adjusted_rand"),
+    cells = df.groupBy(a, b).agg(F.count("*").alias("n"))
+    sums = cells.groupingSets([[a, b], [a], [b], []], a, b).agg(
+        F.sum("n").cast("double").alias("n"), F.grouping_id().alias("level")
     )
 
+    def same(level: int):
+        return F.sum(F.when(F.col("level") == level, F.col("n") * (F.col("n") - 1) / 2))
 
-def correlation(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
-    """Pearson correlations ``(keys, x, y, r)`` of every pair, in one aggregation."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.groupBy(*keys).agg(
-        *[
-            pearson(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"r{i}")
-            for i, (x, y) in enumerate(pairs)
-        ]
+    pairs = sums.agg(
+        same(0).alias("both"),
+        same(1).alias("by_a"),
+        same(2).alias("by_b"),
+        same(3).alias("all"),
+        F.max("n").cast("bigint").alias("n"),
     )
+    expected = F.try_divide(F.col("by_a") * F.col("by_b"), F.col("all"))
+    ceiling = (F.col("by_a") + F.col("by_b")) / 2
+    index = F.try_divide(F.col("both") - expected, ceiling - expected)
+    return pairs.select("n", index.alias("adjusted_rand"))
+
+
+def correlation(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
+    """Pearson correlations ``(keys, x, y, r)`` of every pair of columns, in one pass."""
     cells = F.array(
         *[
-            F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"r{i}").alias("r"))
-            for i, (x, y) in enumerate(pairs)
+            F.struct(
+                F.lit(x).alias("x"),
+                F.lit(y).alias("y"),
+                F.col(x).cast("double").alias("_a"),
+                F.col(y).cast("double").alias("_b"),
+            )
+            for x, y in combinations_with_replacement(columns, 2)
         ]
     )
-    return wide.select(*keys, F.inline(cells))
+    # one small aggregate over column pairs; wide forms of it compile for seconds
+    pairs = df.select(*keys, F.inline(cells))
+    return pairs.groupBy(*keys, "x", "y").agg(pearson(F.col("_a"), F.col("_b")).alias("r"))

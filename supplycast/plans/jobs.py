@@ -18,6 +18,8 @@ from supplycast.operators import (
 )
 from supplycast.sources.scratch import materialize
 
+CLUSTER = ["cluster"]
+
 
 def scaled_series(dense: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
     """Z-score of every metric within its series; NULL for a constant one."""
@@ -64,15 +66,19 @@ def compare_models(
     return evaluate.accuracy(scored, train.withColumnRenamed("value", "actual"), keys, season)
 
 
-def forecast_by_profile(items: DataFrame, horizon: int = 4, k: int = 3) -> DataFrame:
-    """Forecast of monthly orders per supplier profile, with the growth verdict."""
+def forecast_by_profile(
+    items: DataFrame, sales: DataFrame, horizon: int = 4, k: int = 3
+) -> DataFrame:
+    """Forecast of monthly orders per supplier profile, with the growth verdict.
+
+    ``items`` carries the features of the KPIs; ``sales`` the same rows with
+    only seller, date and price, so that the series need none of their joins.
+    """
     labels = materialize(profile_sellers(items, k).select("seller_id", "cluster"), "labels")
-    labelled = features.with_cluster(items, labels).where("cluster IS NOT NULL")
-    daily = clean_daily(labelled, ["cluster"])
-    by_month = facts.monthly_rollup(daily, ["cluster"])
-    dense = spine.densify(by_month, ["cluster"], "month")
-    packed = spine.pack(dense, ["cluster"], "orders")
-    fit = smoothing.holt_fit(packed, ["cluster"])
-    paths = smoothing.holt_forecast(fit, ["cluster"], horizon)
-    verdict = evaluate.growth_verdict(paths, packed, ["cluster"])
+    labelled = features.with_cluster(sales, labels).where("cluster IS NOT NULL")
+    daily = clean_daily(labelled, CLUSTER)
+    dense = spine.densify(facts.monthly_rollup(daily, CLUSTER), CLUSTER, "month")
+    packed = spine.pack(dense, CLUSTER, "orders")
+    paths = smoothing.holt_forecast(smoothing.holt_fit(packed, CLUSTER), CLUSTER, horizon)
+    verdict = evaluate.growth_verdict(paths, packed, CLUSTER)
     return paths.join(verdict.select("cluster", "last_actual", "verdict"), "cluster")

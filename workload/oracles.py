@@ -939,8 +939,9 @@ query(
   SELECT a.cluster, a.t, a.value AS l, b.value - a.value AS b, 0.0::DOUBLE AS sse
   FROM obs a JOIN obs b ON a.cluster = b.cluster AND b.t = 2 WHERE a.t = 1
   UNION ALL
-  SELECT h.cluster, o.t, l + 0.9 * b + 0.5 * (o.value - l - 0.9 * b),
-    0.9 * b + 0.1 * (o.value - l - 0.9 * b), sse + pow(o.value - l - 0.9 * b, 2)
+  SELECT h.cluster, o.t, 0.5 * o.value + 0.5 * (l + 0.9 * b),
+    0.1 * (0.5 * o.value + 0.5 * (l + 0.9 * b) - l) + 0.9 * 0.9 * b,
+    sse + pow(o.value - l - 0.9 * b, 2)
   FROM h JOIN obs o ON o.cluster = h.cluster AND o.t = h.t + 1)""",
     ],
     f"""SELECT cluster, CAST(t AS INTEGER) AS n, {q4("l")} AS level, {q4("b")} AS trend,

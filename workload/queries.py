@@ -32,7 +32,7 @@ from supplycast.operators import (
 )
 from supplycast.plans import jobs
 from supplycast.sources import csv2, marketplace, schemas
-from supplycast.sources.scratch import scratch_path
+from supplycast.sources.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,11 @@ def kpi_table(spark: SparkSession, folder: str) -> DataFrame:
     return kpi.complete_cases(kpi.seller_kpis(kpi.seller_category_kpis(kpi_items(spark, folder))))
 
 
+def written_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    """KPIs as a table, for queries that read them more than once."""
+    return materialize(kpi_table(spark, folder), "kpis")
+
+
 def labelled_items(spark: SparkSession, folder: str, category: bool = False) -> DataFrame:
     items = marketplace.order_items(spark, folder, category=category)
     return items.withColumn("cluster", marketplace.cluster_label(F.col("seller_id"))).where(
@@ -343,8 +348,9 @@ def merged_metrics(spark, folder):
 
 @query
 def forecast_vs_actual(spark, folder):
-    actuals = monthly(spark, folder).withColumnRenamed("value", "actual")
-    forecast = monthly(spark, folder).withColumn(
+    series = monthly(spark, folder)
+    actuals = series.withColumnRenamed("value", "actual")
+    forecast = series.withColumn(
         "forecast", decompose.trailing_mean(F.col("value"), CLUSTER, 3)
     )
     rows = forecast.where("forecast IS NOT NULL").select("cluster", "ds", "t", "forecast")
@@ -439,7 +445,7 @@ def status_by_score(spark, folder):
 
 @query
 def kpi_boxstats(spark, folder):
-    labelled = kpi_table(spark, folder).withColumn(
+    labelled = written_kpis(spark, folder).withColumn(
         "cluster", marketplace.cluster_label(F.col("seller_id"))
     )
     boxes = quantiles.box_stats(
@@ -756,7 +762,8 @@ def holt_fixed(spark, folder):
 @query
 def holt_fit(spark, folder):
     """Damped Holt per seller: fitted parameters of many series at once."""
-    packed = spine.pack(seller_monthly(spark, folder), ["seller_id"])
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    packed = spine.pack(seller_monthly(spark, folder), ["seller_id"], tasks=tasks)
     return smoothing.holt_fit(packed, ["seller_id"]).drop("ys", "fitted")
 
 
@@ -826,8 +833,7 @@ def simple_smoothing(spark, folder):
 # -- evaluation -----------------------------------------------------------------------------
 
 
-def _scored(spark, folder):
-    series = train_valid(spark, folder)
+def _scored(series):
     models = {"mean_3": 3, "mean_6": 6, "last_value": 1}
     out = None
     for name, order in models.items():
@@ -842,8 +848,9 @@ def _scored(spark, folder):
 
 
 def _scores(spark, folder):
-    train = training(spark, folder).withColumnRenamed("value", "actual")
-    return evaluate.accuracy(_scored(spark, folder), train, CLUSTER, season=12)
+    series = train_valid(spark, folder)
+    train = series.where("split = 'train'").withColumnRenamed("value", "actual")
+    return evaluate.accuracy(_scored(series), train, CLUSTER, season=12)
 
 
 SCORES = ("me", "rmse", "mae", "mpe", "mape", "acf1", "theils_u", "mase")
@@ -869,8 +876,9 @@ def holt_vs_arima(spark, folder):
 @query
 def overlay(spark, folder):
     """Training, fitted, forecast and validation rows of the damped trend."""
-    series = train_valid(spark, folder).withColumnRenamed("value", "actual")
-    fit = smoothing.holt_fit(spine.pack(training(spark, folder), CLUSTER), CLUSTER)
+    split = train_valid(spark, folder)
+    series = split.withColumnRenamed("value", "actual")
+    fit = smoothing.holt_fit(spine.pack(split.where("split = 'train'"), CLUSTER), CLUSTER)
     return evaluate.overlay(
         CLUSTER,
         series,
@@ -899,13 +907,13 @@ CENTRES = [
 
 def _assigned(spark, folder):
     z = [f"z_{c}" for c in cluster.FEATURES]
-    return cluster.nearest_centre(cluster.zscore(kpi_table(spark, folder)), z, CENTRES)
+    return cluster.nearest_centre(cluster.zscore(written_kpis(spark, folder)), z, CENTRES)
 
 
 @query
 def seller_features_scaled(spark, folder):
     z = [f"z_{c}" for c in cluster.FEATURES]
-    return cut(cluster.zscore(kpi_table(spark, folder)).select("seller_id", *z), *z)
+    return cut(cluster.zscore(written_kpis(spark, folder)).select("seller_id", *z), *z)
 
 
 @query
@@ -963,4 +971,5 @@ def linkage_sellers(spark, folder):
 @query
 def profile_forecast(spark, folder):
     """Items to KPIs, clusters, monthly series, damped forecast and verdict."""
-    return jobs.forecast_by_profile(kpi_items(spark, folder))
+    sales = marketplace.order_items(spark, folder)
+    return jobs.forecast_by_profile(kpi_items(spark, folder), sales)
