@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 from supplycast.functions import css
 from supplycast.functions.stats import normal_quantile
 from supplycast.operators import boxcox
-from supplycast.operators.diagnose import difference_order
+from supplycast.operators.diagnose import difference, difference_order, seasonal_strength
 from supplycast.operators.spine import pack
 
 ORDERS = ("p", "q", "sp", "sq", "constant")
+# Fixed value: share of variance above which a season is differenced.
+SEASONAL = 0.64
 _NUMBERS = ("sigma2", "loglik", "aic", "aicc", "bic")
 _ARRAYS = ("coefficients", "residuals", "mean", "se")
 
@@ -43,9 +45,10 @@ def search(
 ) -> DataFrame:
     """Every candidate fitted, one row each; failed ones carry a reason.
 
-    The differencing order comes from the level-stationarity test.  Seasonal
-    candidates need two whole periods and are differenced once at the season.
-    Rows are spread over tasks by series and candidate.
+    A series is differenced at the season when that explains most of its
+    detrended variance, and then as often as the level-stationarity test asks.
+    Seasonal terms need two whole cycles.  Rows are spread over ``tasks`` by
+    series and candidate, because few bytes stand for much work.
     """
     spark = packed.sparkSession
     use_season = seasonal and freq > 1
@@ -55,12 +58,18 @@ def search(
             for cell in candidates(most, use_season)
         ]
     )
-    sd = F.when(F.size("ys") >= 2 * freq, 1).otherwise(0) if use_season else F.lit(0)
+    ordered = packed.withColumns({"sd": F.lit(0), "_w": F.col("ys")})
+    if use_season:
+        strong = F.coalesce(F.col("strength") > SEASONAL, F.lit(False))
+        ordered = seasonal_strength(packed, freq).withColumn("sd", strong.cast("int"))
+        ordered = ordered.withColumn(
+            "_w", F.when(F.col("sd") == 1, difference(F.col("ys"), freq)).otherwise(F.col("ys"))
+        )
     rows = (
-        difference_order(packed)
-        .withColumn("sd", sd)
+        difference_order(ordered, "_w")
         .select(*packed.columns, "d", "sd", F.inline(grid))
-        .where("(sd = 1 OR (sp = 0 AND sq = 0)) AND (constant = 0 OR d + sd <= 1)")
+        .where((F.size("ys") >= 2 * freq) | (F.col("sp") + F.col("sq") == 0))
+        .where("constant = 0 OR d + sd <= 1")
     )
     given = T.StructType(rows.schema.fields)
     schema = T.StructType(
@@ -81,7 +90,7 @@ def search(
             extra = extra.astype(object).where(extra.notna(), None)
             yield pd.concat([batch, extra], axis=1)
 
-    tasks = tasks or 2 * spark.sparkContext.defaultParallelism
+    tasks = tasks or min(2 * spark.sparkContext.defaultParallelism, 2000)
     spread = rows.repartition(tasks, *keys, *ORDERS)
     return spread.mapInPandas(fit, schema)
 

@@ -131,9 +131,9 @@ def difference(ys: Column, lag: int = 1) -> Column:
     )
 
 
-def difference_order(packed: DataFrame, most: int = 2) -> DataFrame:
+def difference_order(packed: DataFrame, column: str = "ys", most: int = 2) -> DataFrame:
     """Adds ``d``: differences needed until the level test no longer rejects."""
-    out = packed.withColumns({"_z": F.col("ys"), "d": F.lit(0), "_open": F.lit(True)})
+    out = packed.withColumns({"_z": F.col(column), "d": F.lit(0), "_open": F.lit(True)})
     for _ in range(most):
         reject = F.col("_open") & F.coalesce(
             kpss_statistic(F.col("_z")) > KPSS_CRITICAL["cv_05"], F.lit(False)
@@ -145,3 +145,40 @@ def difference_order(packed: DataFrame, most: int = 2) -> DataFrame:
             }
         )
     return out.drop("_z", "_open")
+
+
+def seasonal_strength(packed: DataFrame, freq: int, column: str = "ys") -> DataFrame:
+    """Adds ``strength``: share of the detrended variance due to the phase means.
+
+    The trend is the centred moving average over one cycle; NULL for series of
+    fewer than two cycles.
+    """
+    half = freq // 2
+    ys, n = F.col(column), F.size(column)
+
+    def detrended(t: Column) -> Column:
+        window = array_total(F.slice(ys, t - half, 2 * half + 1))
+        if freq % 2 == 0:
+            window -= (F.element_at(ys, t - half) + F.element_at(ys, t + half)) / 2
+        return F.struct(
+            (t % freq).alias("phase"), (F.element_at(ys, t) - window / freq).alias("d")
+        )
+
+    enough = n >= 2 * freq
+    middle = F.sequence(F.lit(half + 1), F.greatest(n - half, F.lit(half + 1)))
+    points = packed.withColumn("_pts", F.when(enough, F.transform(middle, detrended)))
+
+    def phase_mean(phase: Column) -> Column:
+        inside = F.transform(F.filter("_pts", lambda p: p["phase"] == phase), lambda p: p["d"])
+        return F.try_divide(array_total(inside), F.size(inside))
+
+    means = points.withColumn(
+        "_means", F.transform(F.sequence(F.lit(0), F.lit(freq - 1)), phase_mean)
+    )
+    rest = F.transform("_pts", lambda p: p["d"] - F.element_at("_means", (p["phase"] + 1).cast("int")))
+
+    def spread(values: Column) -> Column:
+        return array_total(F.transform(_demeaned(values), lambda e: e * e))
+
+    share = 1 - F.try_divide(spread(rest), spread(F.transform("_pts", lambda p: p["d"])))
+    return means.withColumn("strength", F.greatest(share, F.lit(0.0))).drop("_pts", "_means")

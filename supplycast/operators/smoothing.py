@@ -61,12 +61,20 @@ def holt_fixed(
     first, second = F.element_at("ys", 1), F.try_element_at(F.col("ys"), F.lit(2))
     rest = F.slice("ys", F.lit(2), F.greatest(F.size("ys") - 1, F.lit(0)))
     run = holt_fold(rest, a, b, p, first, F.coalesce(second - first, F.lit(0.0)))
+    sse, n = F.col("_run.sse"), F.size("ys").cast("double")
     return packed.withColumn("_run", run).select(
         *keys,
+        F.lit("holt_fixed").alias("model"),
         F.size("ys").alias("n"),
+        a.alias("alpha"),
+        b.alias("beta"),
+        p.alias("phi"),
         F.col("_run.l").alias("level"),
         F.col("_run.b").alias("trend"),
-        F.col("_run.sse").alias("sse"),
+        sse.alias("sse"),
+        (sse / F.greatest(n - 1, F.lit(1.0))).alias("sigma2"),
+        "last_ds",
+        "last_t",
     )
 
 

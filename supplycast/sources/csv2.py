@@ -106,9 +106,11 @@ def write_csv2(
     columns = [_render(f, date_format, timestamp_format) for f in fields]
     if row_number:
         columns.insert(0, F.col(row_number).cast("string").alias(ROW_NUMBER))
+    text = df.select(*columns, *partition_by)
+    if partition_by:
+        text = text.repartition(*partition_by)
     writer = (
-        df.select(*columns, *partition_by)
-        .write.mode("overwrite")
+        text.write.mode("overwrite")
         .option("sep", ";")
         .option("header", True)
         .option("nullValue", "NA")
@@ -119,5 +121,8 @@ def write_csv2(
 
 
 def write_series(series: DataFrame, path: str) -> None:
-    """Daily and monthly series of every cluster as one partitioned table."""
-    series.write.mode("overwrite").partitionBy("grain", "cluster").parquet(path)
+    """Daily and monthly series of every cluster as one partitioned table.
+
+    Each folder is written by one task, so that it holds one file.
+    """
+    series.repartition("grain", "cluster").write.mode("overwrite").partitionBy("grain", "cluster").parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -660,7 +660,8 @@ def unpivoted_series(spark, folder):
 
 @query
 def fourier_decompose(spark, folder):
-    return decompose.fourier_decompose(monthly(spark, folder), CLUSTER, 12, 3)
+    out = decompose.fourier_decompose(monthly(spark, folder), CLUSTER, 12, 3)
+    return cut(out, "trend", "season", "remainder")
 
 
 @query
@@ -756,7 +757,26 @@ def model_summary(spark, folder):
 @query
 def holt_fixed(spark, folder):
     out = smoothing.holt_fixed(packed_monthly(spark, folder), CLUSTER, 0.5, 0.1, 0.9)
-    return cut(out, "level", "trend", "sse")
+    return cut(out.select("cluster", "n", "level", "trend", "sse"), "level", "trend", "sse")
+
+
+@query
+def holt_fixed_forecast(spark, folder):
+    """Forecasts and bounds of the recursion with fixed weights, per seller."""
+    packed = spine.pack(seller_monthly(spark, folder), ["seller_id"])
+    run = smoothing.holt_fixed(packed, ["seller_id"], 0.5, 0.1, 0.9)
+    out = smoothing.holt_forecast(run, ["seller_id"], 4).drop("model")
+    return cut(out, "mean", "lo_80", "hi_80", "lo_95", "hi_95")
+
+
+@query
+def growth_verdict_fixed(spark, folder):
+    """Direction of every seller's forecast with fixed weights."""
+    packed = spine.pack(seller_monthly(spark, folder), ["seller_id"])
+    run = smoothing.holt_fixed(packed, ["seller_id"], 0.5, 0.1, 0.9)
+    paths = smoothing.holt_forecast(run, ["seller_id"], 4)
+    out = evaluate.growth_verdict(paths, packed, ["seller_id"])
+    return cut(out, "mean_forecast", "path_change", "last_actual")
 
 
 @query
@@ -799,6 +819,29 @@ def arima_forecast(spark, folder):
     return arima.forecast(fit, CLUSTER)
 
 
+@query
+def arima_seasonal(spark, folder):
+    """Search with seasonal terms and the seasonal differencing rule."""
+    packed = spine.pack(training(spark, folder), CLUSTER)
+    fit = arima.auto(packed, CLUSTER, MONTHS_VALID, freq=12, seasonal=True, most=3)
+    return arima.summary(fit, CLUSTER)
+
+
+@query
+def seasonal_strength(spark, folder):
+    out = diagnose.seasonal_strength(packed_monthly(spark, folder), 12)
+    return cut(out.select("cluster", "strength"), "strength")
+
+
+@query
+def difference_order(spark, folder):
+    """Differences asked for by the stationarity test, for the running total of items."""
+    totals = monthly(spark, folder).withColumn(
+        "value", F.sum("value").over(Window.partitionBy("cluster").orderBy("t"))
+    )
+    return diagnose.difference_order(spine.pack(totals, CLUSTER)).select("cluster", "d")
+
+
 @query
 def arima_boxcox_forecast(spark, folder):
     """Search on the Box-Cox scale, forecasts transformed back."""
@@ -954,7 +997,8 @@ def kmeans_sellers(spark, folder):
 
 @query
 def choose_k(spark, folder):
-    return cluster.choose_k(cluster.with_vector(kpi_table(spark, folder)))
+    indices = cluster.choose_k(cluster.with_vector(kpi_table(spark, folder)))
+    return indices.join(cluster.votes(indices), "k")
 
 
 @query
