@@ -11,16 +11,16 @@ def exact_quantiles(
     keys: list[str],
     value: str,
     probs: dict[str, float],
-    buckets: int = 64,
+    depth: int = 6,
 ) -> DataFrame:
     """Linear-interpolation quantiles per key, one column per entry of ``probs``.
 
-    Values are counted first, then cut into about ``buckets`` ranges per key.
+    Values are counted first, then cut into about ``2 ** depth`` ranges per key.
     Exact range counts tell which few ranges hold the wanted ranks, and only
     those are sorted.  The cut points come from a sketch, but they only
     influence how even the ranges are, not the result.
     """
-    return _from_counts(value_counts(df, keys, value), keys, value, probs, buckets)
+    return _from_counts(value_counts(df, keys, value), keys, value, probs, depth)
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -28,18 +28,20 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return known.groupBy(*keys, value).agg(F.count("*").alias("_n"))
 
 
-def _from_counts(counts, keys, value, probs, buckets=64) -> DataFrame:
+def _from_counts(counts, keys, value, probs, depth=6) -> DataFrame:
+    buckets = 2**depth
     grid = [i / buckets for i in range(1, buckets)]
     cuts = counts.groupBy(*keys).agg(
         F.percentile_approx(value, grid, 1000).alias("_cuts"), F.sum("_n").alias("_total")
     )
-    tagged = counts.join(cuts, keys).select(
-        *keys,
-        value,
-        "_n",
-        "_total",
-        F.size(F.filter("_cuts", lambda c: c < F.col(value))).alias("_bucket"),
-    )
+    # number of cut points below the value, by halving
+    tagged = counts.join(cuts, keys).withColumn("_bucket", F.lit(0))
+    for step in (2**i for i in reversed(range(depth))):
+        cut = F.col("_cuts")[F.col("_bucket") + (step - 1)]
+        tagged = tagged.withColumn(
+            "_bucket", F.col("_bucket") + F.when(cut < F.col(value), step).otherwise(0)
+        )
+    tagged = tagged.select(*keys, value, "_n", "_total", "_bucket")
     wanted = F.lit(False)
     positions = {}
     for name, p in probs.items():

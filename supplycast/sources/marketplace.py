@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from supplycast.sources import schemas
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """Declared schema: no job to infer it, and a column of another type fails."""
+    return spark.read.schema(schemas.STAR[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _day(ts: str) -> Column:

@@ -252,12 +252,10 @@ def zscore_series(spark, folder):
 
 
 @query
-def kpi_completeness(spark, folder):
-    per_category = kpi.seller_category_kpis(kpi_items(spark, folder))
-    gaps = kpi.seller_kpis(per_category.where("category <> 'nao_informada'")).withColumn(
-        "pct_delayed", F.when(F.col("seller_id") % 7 != 0, F.col("pct_delayed"))
-    )
-    return kpi.completeness(gaps, kpi.KPI_COLUMNS)
+def completeness(spark, folder):
+    """Items before and after the complete-case filter, category not yet recoded."""
+    items = marketplace.order_items(spark, folder, category=True)
+    return kpi.completeness(items, ["order_id", "seller_id", "category", "price", "dt_purchase"])
 
 
 # -- features -------------------------------------------------------------------------------
