@@ -76,12 +76,16 @@ def nearest_centre(df: DataFrame, columns: list[str], centres: list[list[float]]
 
 
 def fit_kmeans(df: DataFrame, k: int, seeds: range = range(10)) -> KMeansModel:
-    """Best of several starts by within-cluster cost."""
-    return fit_all(df, [(k, seed) for seed in seeds])[k]
+    """Best of several random starts by within-cluster cost."""
+    return fit_all(df, [(k, seed) for seed in seeds], init="random")[k]
 
 
 def fit_all(
-    df: DataFrame, starts: list[tuple[int, int]], max_iter: int = 50, threads: int = 8
+    df: DataFrame,
+    starts: list[tuple[int, int]],
+    init: str = "k-means||",
+    max_iter: int = 50,
+    threads: int = 8,
 ) -> dict[int, KMeansModel]:
     """Best model per k over ``(k, seed)`` starts, fitted side by side.
 
@@ -90,7 +94,7 @@ def fit_all(
     """
 
     def fit(start: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=start[0], seed=start[1], maxIter=max_iter).fit(df)
+        return KMeans(k=start[0], seed=start[1], maxIter=max_iter, initMode=init).fit(df)
 
     with ThreadPoolExecutor(threads) as pool:
         models = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), starts))

@@ -37,7 +37,7 @@ def test_zscore_of_a_constant_column_is_zero(spark):
 
 
 def test_kmeans_finds_blobs_with_stable_names(features):
-    out = cluster.kmeans_labels(features, 3, range(4), order_by="z_x")
+    out = cluster.kmeans_labels(features, 3, order_by="z_x")
     sizes = {r["cluster"]: r["n"] for r in out.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
     assert sizes == {"1": 30, "2": 35, "3": 40}
     rand = tables.adjusted_rand(out, "cluster", "truth").first()
