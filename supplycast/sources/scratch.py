@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -17,9 +18,12 @@ def scratch_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError(f"set {_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="supplycast-")
-    spark.conf.set(_CONF, folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="supplycast-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

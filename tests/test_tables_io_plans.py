@@ -88,6 +88,24 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert scratch.scratch_path(spark, "x").startswith(folder)
 
 
+class _Session:
+    """Stands for a session with given settings."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_scratch_folder_without_a_setting():
+    local = _Session(**{"spark.master": "local[4]"})
+    assert scratch.scratch_dir(local) == scratch.scratch_dir(local)
+    with pytest.raises(ValueError):
+        scratch.scratch_dir(_Session(**{"spark.master": "yarn"}))
+
+
 # -- joins and audits -----------------------------------------------------------------------
 
 
