@@ -47,8 +47,13 @@ def _best_starts(y, alpha, beta, phi):
 
 
 def damped_trend(y, phi, points=9, rounds=4):
-    """(alpha, beta, level, trend) with the least squared one-step error, beta <= alpha."""
+    """(alpha, beta, level, trend) with the least squared one-step error, beta <= alpha.
+
+    A series with gaps has none.
+    """
     y = np.asarray(y, float)
+    if not len(y) or np.isnan(y).any():
+        return (None,) * 4
     centre_a = centre_s = 0.5
     half = 0.4999
     best = None
@@ -120,9 +125,11 @@ def automatic(y, freq):
 
     Seasonal forms need two whole cycles and at most 24 phases; multiplicative
     ones need positive values.  An additive error is not combined with a
-    multiplicative season.
+    multiplicative season.  Empty for a series too short or with gaps.
     """
     y = np.asarray(y, float)
+    if np.isnan(y).any():
+        return {}
     n, positive = len(y), bool((y > 0).all())
     seasons = "NAM" if 1 < freq <= 24 and n >= 2 * freq else "N"
     best = None

@@ -186,6 +186,8 @@ def fourier_decompose(
         y = series["data"].to_numpy(float)
         x = np.column_stack([np.ones(len(y)), series[["t", *names]].to_numpy(float)])
         known = ~np.isnan(y)
+        if not known.any():
+            return series.assign(trend=np.nan, season=np.nan, remainder=np.nan)
         coef = np.linalg.lstsq(x[known], y[known], rcond=None)[0]
         trend, season = x[:, :2] @ coef[:2], x[:, 2:] @ coef[2:]
         return series.assign(trend=trend, season=season, remainder=y - trend - season)

@@ -53,8 +53,9 @@ def _median_pass(df: DataFrame, keys: list[str], reach: int) -> DataFrame:
             "_kept": F.when(~(F.col("is_outlier") | is_outlier), F.col("fixed")),
         }
     )
-    was_imputed = marked.withColumnRenamed("is_imputed", "_was") if "is_imputed" in df.columns else marked
-    out = interpolate(was_imputed, keys, "_kept", "fixed").drop("_rest", "_q", "_kept", "is_imputed")
+    if "is_imputed" in df.columns:
+        marked = marked.withColumnRenamed("is_imputed", "_was")
+    out = interpolate(marked, keys, "_kept", "fixed").drop("_rest", "_q", "_kept", "is_imputed")
     return out.withColumnRenamed("_was", "is_imputed")
 
 

@@ -172,7 +172,9 @@ def ets_fit(packed: DataFrame, keys: list[str], freq: int = 1) -> DataFrame:
     @F.pandas_udf(layout)
     def choose(ys: pd.Series) -> pd.DataFrame:
         found = [search.automatic(y, freq) for y in ys]
-        return pd.DataFrame(found).reindex(columns=["model", "season", *fields])
+        table = pd.DataFrame(found, index=ys.index, dtype=object)
+        table = table.reindex(columns=["model", "season", *fields]).astype(object)
+        return table.where(table.notna(), None)
 
     fitted = packed.withColumn("_fit", choose("ys"))
     return fitted.select(*keys, F.size("ys").alias("n"), "_fit.*", "ys", "last_ds", "last_t")

@@ -364,3 +364,14 @@ def test_other_series_do_not_change_a_fit(spark):
         for df in (alone, joined)
     ]
     assert fits[0] == fits[1]
+
+
+def test_fits_on_series_too_short_or_empty(spark):
+    df = series_frame(spark, {"one": [4.0], "three": [1.0, 2.0, 3.0]})
+    found = by_id(smoothing.ets_fit(spine.pack(df, ID), ID, 12))
+    assert found["one"]["model"] is None and found["three"]["season"] is None
+    empty = series_frame(spark, {"empty": [None, None], "long": LINE})
+    fits = by_id(smoothing.ets_fit(spine.pack(empty, ID), ID))
+    assert fits["empty"]["model"] is None and fits["long"]["model"] is not None
+    holts = by_id(smoothing.holt_fit(spine.pack(empty, ID), ID))
+    assert holts["empty"]["alpha"] is None and holts["long"]["alpha"] is not None
