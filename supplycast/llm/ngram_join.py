@@ -30,6 +30,8 @@ SHINGLE = 5
 TOP, BOTTOM = 4, 5
 #: blocks of a band for each shingle of its largest set, and at least so many
 BLOCKS_PER_SHINGLE, LEAST_BLOCKS = 0.36, 32
+#: rounds that compare with one pivot of each group before the rest is compared pair by pair
+STAR_ROUNDS = 3
 _U = np.uint64
 
 
@@ -190,7 +192,7 @@ def _null_empty(members: pa.ListArray, counts: np.ndarray) -> pa.Array:
 
 
 def shared_groups(sketched: DataFrame) -> DataFrame:
-    """``(group_key, set_id, pivot)``: sets that share a key with another one.
+    """``(group_key, set_id)``: sets that share a key with another one.
 
     Sets of one batch are grouped before the shuffle, so a key of most sets arrives as one row per
     batch.  Keys with the same sets say the same, so one of them is kept.
@@ -204,20 +206,22 @@ def shared_groups(sketched: DataFrame) -> DataFrame:
         "key",
         "head",
         "members",
-        F.min("head").over(by_key).alias("pivot"),
-        F.max("head").over(by_key).alias("last"),
+        F.min("head").over(by_key).alias("least"),
+        F.max("head").over(by_key).alias("most"),
         F.bit_xor("hash_xor").over(by_key).alias("hash_xor"),
         F.sum("hash_sum").over(by_key).alias("hash_sum"),
         F.sum("n").over(by_key).alias("n"),
-    ).where("n > 1 AND (pivot != last OR members IS NOT NULL)")
+    ).where("least != most OR members IS NOT NULL")
     grouped = materialize(grouped, "groups")
-    signature = ["pivot", "hash_xor", "hash_sum", "n"]
+    signature = ["least", "hash_xor", "hash_sum", "n"]
     one = grouped.groupBy(*signature).agg(F.min("key").alias("key"))
-    members = F.explode(F.concat(F.array("head"), F.coalesce("members", F.array().cast("array<long>"))))
+    members = F.explode(
+        F.concat(F.array("head"), F.coalesce("members", F.array().cast("array<long>")))
+    )
     return (
         grouped.select("key", "head", "members")
-        .join(one.select("key", "pivot"), "key")
-        .select(F.col("key").alias("group_key"), members.alias("set_id"), "pivot")
+        .join(one.select("key"), "key", "left_semi")
+        .select(F.col("key").alias("group_key"), members.alias("set_id"))
         .distinct()
     )
 
@@ -309,16 +313,15 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
         ),
         "set-sizes",
     )
-    groups = materialize(shared_groups(known), "shared")
-    star = groups.where("set_id != pivot").select("set_id", "pivot").distinct()
-    candidates = (
-        star.join(size.select("set_id", F.col("s").alias("x")), "set_id")
-        .join(size.select(F.col("set_id").alias("pivot"), F.col("s").alias("y")), "pivot")
-        .where(_may_link("x", "y"))
-        .select(F.col("set_id").alias("a"), F.col("pivot").alias("b"))
-    )
-    links = _link(candidates, docs, ids, "star")
-    links = links.unionAll(_link(_open_pairs(groups, links, size), docs, ids, "open"))
+    rows = materialize(shared_groups(known).join(size, "set_id"), "shared")
+    rows = rows.withColumn("label", F.col("set_id"))
+    links = None
+    for number in range(STAR_ROUNDS + 1):
+        pairs = _star_pairs(rows, number) if number < STAR_ROUNDS else _all_pairs(rows)
+        found = _link(pairs, docs, ids, f"round-{number}")
+        links = found if links is None else links.unionAll(found)
+        if number < STAR_ROUNDS:
+            rows = _unconnected(rows, components(links))
     same_id = (
         ids.distinct()
         .join(ids.groupBy("doc_id").agg(F.min("set_id").alias("b")), "doc_id")
@@ -343,27 +346,55 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     )
 
 
-def _open_pairs(groups: DataFrame, links: DataFrame, size: DataFrame) -> DataFrame:
-    """Pairs of one group that no verified links connect and that may be similar."""
-    labels = components(links)
-    labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "group_key", "set_id", "pivot", F.coalesce("label", "set_id").alias("label")
+def _unconnected(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the groups whose sets are not all connected by verified links yet."""
+    labelled = materialize(
+        rows.drop("label")
+        .join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+        .withColumn("label", F.coalesce("label", "set_id")),
+        "labelled",
     )
-    labelled = materialize(labelled, "labelled")
     several = (
         labelled.groupBy("group_key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low != high")
         .select("group_key")
     )
-    rows = materialize(
-        labelled.join(several, "group_key", "left_semi").join(size, "set_id"), "unconnected"
+    return materialize(labelled.join(several, "group_key", "left_semi"), "unconnected")
+
+
+def _star_pairs(rows: DataFrame, number: int) -> DataFrame:
+    """Each set of a group with the group's pivot, if they are unconnected and may be similar.
+
+    The pivot is drawn by a hash for each group and round, so a set of many groups meets many pivots.
+    """
+    drawn = F.struct(
+        F.xxhash64("set_id", "group_key", F.lit(number)).alias("hash"),
+        F.struct("set_id", "label", "s").alias("pivot"),
     )
-    left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in ("set_id", "pivot", "label", "s")])
+    pivots = rows.groupBy("group_key").agg(F.min_by(drawn["pivot"], drawn["hash"]).alias("p"))
+    return (
+        rows.join(pivots, "group_key")
+        .where("label != p.label")
+        .select(
+            F.least("set_id", "p.set_id").alias("a"),
+            F.greatest("set_id", "p.set_id").alias("b"),
+            "s",
+            "p",
+        )
+        .dropDuplicates(["a", "b"])
+        .where(_may_link("s", "p.s"))
+        .select("a", "b")
+    )
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of one group that are still unconnected and may be similar."""
+    left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in ("set_id", "label", "s")])
     right = rows.select("group_key", *[F.col(c).alias(f"{c}_b") for c in ("set_id", "label", "s")])
     return (
         left.join(right, "group_key")
-        .where("set_id_a < set_id_b AND label_a != label_b AND pivot_a != set_id_a")
+        .where("set_id_a < set_id_b AND label_a != label_b")
         .where(_may_link("s_a", "s_b"))
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
         .distinct()
