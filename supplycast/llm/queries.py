@@ -100,7 +100,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         "doc_id", "source", mixing.n_words("text").alias("size")
     )
-    return mixing.copies(docs).select(
+    return mixing.copies(materialize(docs, "sizes")).select(
         "doc_id",
         "size",
         "source_size",
