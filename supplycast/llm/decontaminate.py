@@ -45,8 +45,9 @@ class Index(NamedTuple):
 
 
 def _hash_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    data = tx.FOLD[data]
     words = tx.find_words(data, at, tx.NOT_ALNUM)
-    return tx.Hasher(data, tx.FOLD).ranges(words.starts, words.ends), words.bounds
+    return tx.Hasher(data).ranges(words.starts, words.ends), words.bounds
 
 
 def _seed(words: np.ndarray, offsets: tuple[int, ...], number: int) -> np.ndarray:

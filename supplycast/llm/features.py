@@ -31,7 +31,7 @@ class Rows(NamedTuple):
 
 def _tokens(data: np.ndarray, at: np.ndarray):
     """Starts, ends and kind (mark or word) of the tokens of a slice."""
-    blank, other = tx.BLANKS[data], tx.NOT_ALNUM[data] & (data > 0x20)
+    blank, other = tx.BLANKS[data], tx.NOT_ALNUM[tx.FOLD[data]] & (data > 0x20)
     n = len(data)
     starts = np.ones(n, dtype=bool)
     # a token ends where the kind changes; inside a run of marks, where the mark changes

@@ -31,7 +31,7 @@ TOP, BOTTOM = 4, 5
 #: blocks of a band for each shingle of its largest set, and at least so many
 BLOCKS_PER_SHINGLE, LEAST_BLOCKS = 0.36, 32
 #: rounds that compare with one pivot of each group before the rest is compared pair by pair
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 _U = np.uint64
 
 
@@ -390,12 +390,16 @@ def _star_pairs(rows: DataFrame, number: int) -> DataFrame:
 
 def _all_pairs(rows: DataFrame) -> DataFrame:
     """Pairs of one group that are still unconnected and may be similar."""
-    left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in ("set_id", "label", "s")])
-    right = rows.select("group_key", *[F.col(c).alias(f"{c}_b") for c in ("set_id", "label", "s")])
+    # a pair of several groups is compared in the first of them
+    groups = rows.groupBy("set_id").agg(F.collect_list("group_key").alias("groups"))
+    rows = rows.join(groups, "set_id")
+    columns = ("set_id", "label", "s", "groups")
+    left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = rows.select("group_key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    first = F.array_min(F.array_intersect("groups_a", "groups_b"))
     return (
         left.join(right, "group_key")
         .where("set_id_a < set_id_b AND label_a != label_b")
-        .where(_may_link("s_a", "s_b"))
+        .where(_may_link("s_a", "s_b") & (first == F.col("group_key")))
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
-        .distinct()
     )
