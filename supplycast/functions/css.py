@@ -108,8 +108,10 @@ def fit(y, p, d, q, sp, sd, sq, period, constant, horizon):
     e = _errors(w, params, order, period)
     n = len(w)
     sse = float(e @ e)
-    if not np.isfinite(sse) or sse <= 0:
-        return {"reason": "no residual variation"}
+    if not np.isfinite(sse):
+        return {"reason": "diverged"}
+    # an exact fit is as good as rounding allows, so the one with the fewest parameters wins
+    sse = max(sse, n * (1e-10 * max(np.abs(y).max(), 1e-100)) ** 2)
     lik = n * (np.log(2 * np.pi * sse / n) + 1)
     full = np.convolve(ar_poly, integration)
     level = mean * ar_poly.sum()

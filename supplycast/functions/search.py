@@ -123,15 +123,15 @@ def _run_form(y, trend, season, freq):
 def automatic(y, freq):
     """Form and weights with the least corrected AIC, as a dict.
 
-    Seasonal forms need two whole cycles and at most 24 phases; multiplicative
-    ones need positive values.  An additive error is not combined with a
+    Seasonal forms need two whole cycles; multiplicative ones need positive
+    values.  An additive error is not combined with a
     multiplicative season.  Empty for a series too short or with gaps.
     """
     y = np.asarray(y, float)
     if np.isnan(y).any():
         return {}
     n, positive = len(y), bool((y > 0).all())
-    seasons = "NAM" if 1 < freq <= 24 and n >= 2 * freq else "N"
+    seasons = "NAM" if freq > 1 and n >= 2 * freq else "N"
     best = None
     with np.errstate(all="ignore"):
         for trend in ("N", "A", "Ad"):

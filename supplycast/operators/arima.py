@@ -90,25 +90,32 @@ def search(
             extra = extra.astype(object).where(extra.notna(), None)
             yield pd.concat([batch, extra], axis=1)
 
-    tasks = tasks or min(2 * spark.sparkContext.defaultParallelism, 2000)
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = rows.repartition(tasks, *keys, *ORDERS)
     return spread.mapInPandas(fit, schema)
 
 
 def auto(packed: DataFrame, keys: list[str], horizon: int, **options) -> DataFrame:
-    """Candidate with the least corrected AIC per series, with its forecast arrays."""
-    tried = search(packed, keys, horizon, **options).where("reason IS NULL")
-    whole = F.struct(*[c for c in tried.columns if c not in keys])
+    """Candidate with the least corrected AIC per series, with its forecast arrays.
+
+    A series that no candidate fits (too short, gaps) keeps its row, with a ``reason`` and no model.
+    """
+    tried = search(packed, keys, horizon, **options)
+    whole = F.struct(*[c for c in tried.columns if c not in [*keys, "reason"]])
+    fitted = F.col("reason").isNull()
     best = tried.groupBy(*keys).agg(
-        F.min_by(whole, F.struct("aicc", *ORDERS)).alias("_b"), F.count("*").alias("n_candidates")
+        F.min_by(F.when(fitted, whole), F.when(fitted, F.struct("aicc", *ORDERS))).alias("_b"),
+        F.count_if(fitted).alias("n_candidates"),
+        F.min("reason").alias("_reason"),
     )
+    failed = F.when(F.col("n_candidates") == 0, F.col("_reason"))
     order = F.format_string("(%d,%d,%d)", "p", "d", "q")
     season = F.when(
         F.col("sp") + F.col("sd") + F.col("sq") > 0, F.format_string("(%d,%d,%d)", "sp", "sd", "sq")
     ).otherwise("")
     drift = F.when(F.col("constant") == 1, " with constant").otherwise("")
-    return best.select(*keys, "n_candidates", "_b.*").withColumn(
-        "model", F.concat(F.lit("ARIMA"), order, season, drift)
+    return best.select(*keys, "n_candidates", failed.alias("reason"), "_b.*").withColumn(
+        "model", F.when(F.col("p").isNotNull(), F.concat(F.lit("ARIMA"), order, season, drift))
     )
 
 
@@ -160,5 +167,5 @@ def residual_rows(fit: DataFrame, keys: list[str]) -> DataFrame:
 def summary(fit: DataFrame, keys: list[str]) -> DataFrame:
     """Order, coefficients and criteria per series."""
     return fit.select(
-        *keys, "model", "coefficients", F.size("ys").alias("n"), "n_candidates", *_NUMBERS
+        *keys, "model", "reason", "coefficients", F.size("ys").alias("n"), "n_candidates", *_NUMBERS
     )

@@ -58,7 +58,7 @@ def missing_profile(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def volume_spikes(orders: DataFrame, day: str = "dt_purchase", factor: float = 1.5) -> DataFrame:
+def volume_spikes(orders: DataFrame, factor: float, day: str = "dt_purchase") -> DataFrame:
     """Days whose volume is at least ``factor`` times the mean daily volume."""
     daily = orders.groupBy(day).agg(F.count("*").alias("n"))
     mean = daily.agg(F.sum("n") / F.count("*")).scalar()

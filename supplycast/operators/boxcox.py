@@ -9,14 +9,20 @@ from supplycast.functions.stats import array_total
 
 
 def transform(y: Column, lam: Column) -> Column:
-    power = (F.pow(y, lam) - 1) / lam
-    return F.when(y > 0, F.when(F.abs(lam) < 1e-12, F.ln(y)).otherwise(power))
+    """Box-Cox scale; a positive exponent keeps the sign and so takes any value.
+
+    NULL where it is undefined: a value of zero or below with an exponent of zero or below.
+    """
+    power = (F.signum(y) * F.pow(F.abs(y), lam) - 1) / lam
+    logged = F.abs(lam) < 1e-12
+    return F.when((y > 0) | ((lam > 0) & ~logged), F.when(logged, F.ln(y)).otherwise(power))
 
 
 def inverse(z: Column, lam: Column) -> Column:
-    base = F.greatest(lam * z + 1, F.lit(0.0))
-    power = F.pow(base, 1 / lam)
-    return F.when(F.abs(lam) < 1e-12, F.exp(z)).otherwise(power)
+    base = lam * z + 1
+    base = F.when(lam > 0, base).otherwise(F.greatest(base, F.lit(0.0)))
+    power = F.signum(base) * F.pow(F.abs(base), 1 / lam)
+    return F.when(z.isNotNull(), F.when(F.abs(lam) < 1e-12, F.exp(z)).otherwise(power))
 
 
 def guerrero(

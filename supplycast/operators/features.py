@@ -42,8 +42,12 @@ def postal_points(geolocation: DataFrame) -> DataFrame:
 
 
 def with_category(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Left join of the product category; one row per product is taken."""
-    catalogue = products.groupBy("product_id").agg(F.max("category").alias("category"))
+    """Left join of the product category; a product with two categories is an error."""
+    low, high = F.min("category"), F.max("category")
+    conflict = F.raise_error(F.concat(F.lit("two categories of product "), "product_id"))
+    catalogue = products.groupBy("product_id").agg(
+        F.when(low != high, conflict.cast("string")).otherwise(high).alias("category")
+    )
     return items.join(catalogue, "product_id", "left")
 
 

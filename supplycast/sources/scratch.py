@@ -12,11 +12,11 @@ _CONF = "spark.checkpoint.dir"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder named by the session; a temporary one only in local mode."""
+    """Shared folder named by the session; a temporary one only where the master is known to be local."""
     configured = spark.conf.get(_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {_CONF} to a folder shared by all executors")
     return _local_folder()
 

@@ -375,3 +375,43 @@ def test_fits_on_series_too_short_or_empty(spark):
     assert fits["empty"]["model"] is None and fits["long"]["model"] is not None
     holts = by_id(smoothing.holt_fit(spine.pack(empty, ID), ID))
     assert holts["empty"]["alpha"] is None and holts["long"]["alpha"] is not None
+
+
+def test_chi_square_tail_has_no_limits(spark):
+    """Against the finite Poisson sum that even degrees of freedom allow."""
+    import math
+
+    from supplycast.functions.stats import chi2_sf
+
+    def poisson(x, df):
+        half = x / 2
+        return math.fsum(
+            math.exp(k * math.log(half) - half - math.lgamma(k + 1)) for k in range(df // 2)
+        )
+
+    points = [
+        (df * factor, df)
+        for df in (2, 4, 10, 100, 480, 730, 2000)
+        for factor in (0.1, 0.7, 0.95, 1.0, 1.02, 1.1, 1.5, 5.0)
+    ] + [(1e5, 10), (1e5, 2000), (1200.0, 10), (900.0, 10), (1.0, 2000)]
+    df = spark.createDataFrame(points, "x double, df int")
+    for r in df.select("x", "df", chi2_sf(F.col("x"), F.col("df")).alias("p")).collect():
+        assert r["p"] == pytest.approx(poisson(r["x"], r["df"]), rel=1e-8, abs=1e-13)
+    odd = df.limit(1).select(chi2_sf(F.lit(3.841458820694124), F.lit(1)).alias("p")).first()["p"]
+    assert odd == pytest.approx(0.05, abs=1e-12)
+
+
+def test_ljung_box_of_a_daily_series(spark):
+    from supplycast.operators import diagnose
+
+    rng = np.random.default_rng(8)
+    noise, level, path = rng.normal(size=2500), 0.0, []
+    for e in noise:
+        level = 0.9 * level + e
+        path.append(level)
+    packed = spine.pack(
+        series_frame(spark, {"ar": path, "white": noise.tolist()}, step="day"), ["series_id"]
+    )
+    got = {r["series_id"]: r for r in diagnose.ljung_box(packed, ["series_id"], 365).collect()}
+    assert got["ar"]["lag"] == 500 and got["ar"]["p_value"] == pytest.approx(0.0, abs=1e-12)
+    assert 0.001 < got["white"]["p_value"] < 0.999

@@ -920,8 +920,9 @@ query(
   SELECT cluster, n, max(lag) AS lag, n * (n + 2) * sum(acf * acf / (n - lag)) AS q
   FROM rho WHERE lag <= least(10, n // 5) GROUP BY 1, 2)""",
         """tail AS (
-  SELECT *, lag - 2 AS df, 1 - exp(df / 2 * ln(q / 2) - q / 2) * list_sum(list_transform(
-    range(0, 400), lambda i: exp(i * ln(q / 2) - lgamma(df / 2 + i + 1)))) AS p FROM lb)""",
+  -- the degrees of freedom are even: the tail is a finite Poisson sum
+  SELECT *, lag - 2 AS df, list_sum(list_transform(
+    range(0, df // 2), lambda k: exp(k * ln(q / 2) - q / 2 - lgamma(k + 1)))) AS p FROM lb)""",
     ],
     f"""SELECT cluster, CAST(n AS INTEGER) AS n, CAST(lag AS INTEGER) AS lag, {q4("q")} AS q,
   CAST(df AS INTEGER) AS df, {q4("greatest(0.0, least(1.0, p))")} AS p_value FROM tail""",
