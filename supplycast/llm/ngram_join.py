@@ -240,15 +240,16 @@ def _distance(x: Column, y: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda acc, b: acc + b)
 
 
+def _size_fits(n: str, m: str) -> Column:
+    n, m = F.col(n), F.col(m)
+    return (n * BOTTOM >= m * TOP) & (m * BOTTOM >= n * TOP)
+
+
 def _may_link(x: str, y: str) -> Column:
     """Sizes and sketches do not rule the pair out."""
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differ = F.floor((n + m) * (BOTTOM - TOP) / (BOTTOM + TOP))
-    return (
-        (n * BOTTOM >= m * TOP)
-        & (m * BOTTOM >= n * TOP)
-        & (_distance(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) <= differ)
-    )
+    differ = F.floor((F.col(f"{x}.n") + F.col(f"{y}.n")) * (BOTTOM - TOP) / (BOTTOM + TOP))
+    near = _distance(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) <= differ
+    return _size_fits(f"{x}.n", f"{y}.n") & near
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -313,11 +314,13 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
         ),
         "set-sizes",
     )
-    rows = materialize(shared_groups(known).join(size, "set_id"), "shared")
+    # sketches stay out of the groups, where a set of many groups would repeat its own in each
+    lengths = size.select("set_id", F.col("s.n").alias("n"))
+    rows = materialize(shared_groups(known).join(lengths, "set_id"), "shared")
     rows = rows.withColumn("label", F.col("set_id"))
     links = None
     for number in range(STAR_ROUNDS + 1):
-        pairs = _star_pairs(rows, number) if number < STAR_ROUNDS else _all_pairs(rows)
+        pairs = _star_pairs(rows, size, number) if number < STAR_ROUNDS else _all_pairs(rows, size)
         found = _link(pairs, docs, ids, f"round-{number}")
         links = found if links is None else links.unionAll(found)
         if number < STAR_ROUNDS:
@@ -363,36 +366,32 @@ def _unconnected(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(labelled.join(several, "group_key", "left_semi"), "unconnected")
 
 
-def _star_pairs(rows: DataFrame, number: int) -> DataFrame:
+def _star_pairs(rows: DataFrame, size: DataFrame, number: int) -> DataFrame:
     """Each set of a group with the group's pivot, if they are unconnected and may be similar.
 
     The pivot is drawn by a hash for each group and round, so a set of many groups meets many pivots.
     """
     drawn = F.struct(
         F.xxhash64("set_id", "group_key", F.lit(number)).alias("hash"),
-        F.struct("set_id", "label", "s").alias("pivot"),
+        F.struct("set_id", "label", "n").alias("pivot"),
     )
     pivots = rows.groupBy("group_key").agg(F.min_by(drawn["pivot"], drawn["hash"]).alias("p"))
-    return (
+    pairs = (
         rows.join(pivots, "group_key")
-        .where("label != p.label")
-        .select(
-            F.least("set_id", "p.set_id").alias("a"),
-            F.greatest("set_id", "p.set_id").alias("b"),
-            "s",
-            "p",
-        )
-        .dropDuplicates(["a", "b"])
-        .where(_may_link("s", "p.s"))
-        .select("a", "b")
+        .where((F.col("label") != F.col("p.label")) & _size_fits("n", "p.n"))
+        .select(F.least("set_id", "p.set_id").alias("a"), F.greatest("set_id", "p.set_id").alias("b"))
+        .distinct()
     )
+    left = size.select(F.col("set_id").alias("a"), F.col("s").alias("x"))
+    right = size.select(F.col("set_id").alias("b"), F.col("s").alias("y"))
+    return pairs.join(left, "a").join(right, "b").where(_may_link("x", "y")).select("a", "b")
 
 
-def _all_pairs(rows: DataFrame) -> DataFrame:
+def _all_pairs(rows: DataFrame, size: DataFrame) -> DataFrame:
     """Pairs of one group that are still unconnected and may be similar."""
     # a pair of several groups is compared in the first of them
     groups = rows.groupBy("set_id").agg(F.collect_list("group_key").alias("groups"))
-    rows = rows.join(groups, "set_id")
+    rows = rows.join(groups, "set_id").join(size, "set_id")
     columns = ("set_id", "label", "s", "groups")
     left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in columns])
     right = rows.select("group_key", *[F.col(c).alias(f"{c}_b") for c in columns])
