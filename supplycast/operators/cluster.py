@@ -90,14 +90,18 @@ def fit_all(
     """Best model per k over ``(k, seed)`` starts, fitted side by side.
 
     The fits are many short jobs; submitting several at once keeps the
-    executors busy between their iterations.
+    executors busy between their iterations.  They share one copy of the vectors.
     """
+    vectors = df.select("features").persist()
 
     def fit(start: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=start[0], seed=start[1], maxIter=max_iter, initMode=init).fit(df)
+        return KMeans(k=start[0], seed=start[1], maxIter=max_iter, initMode=init).fit(vectors)
 
-    with ThreadPoolExecutor(threads) as pool:
-        models = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), starts))
+    try:
+        with ThreadPoolExecutor(threads) as pool:
+            models = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), starts))
+    finally:
+        vectors.unpersist()
     best: dict[int, KMeansModel] = {}
     for (k, _), model in zip(starts, models):
         if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
@@ -195,7 +199,7 @@ def choose_k(
     features: DataFrame,
     candidates: range = range(3, 7),
     columns: list[str] = FEATURES,
-    seeds: range = range(3),
+    seeds: range = range(10),
 ) -> DataFrame:
     """Validity indices per k and the number of votes each k receives.
 
