@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from supplycast.sources.scratch import materialize
+
+
+#: distinct values that one range may hold on average: what one task sorts
+RANGE_ROWS = 500_000
+#: bytes up to which a table with a row for each key is sent to all executors
+SMALL_BYTES = 8 << 20
+
 
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
     value: str,
     probs: dict[str, float],
-    depth: int = 6,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Linear-interpolation quantiles per key, one column per entry of ``probs``.
 
-    Values are counted first, then cut into about ``2 ** depth`` ranges per key.
-    Exact range counts tell which few ranges hold the wanted ranks, and only
-    those are sorted.  The cut points come from a sketch, but they only
-    influence how even the ranges are, not the result.
+    Values are counted first, then cut into ranges of about ``range_rows`` distinct
+    values, however many there are.  Exact range counts tell which few ranges hold
+    the wanted ranks, and only those are sorted.  The cut points come from a
+    sketch, but they only influence how even the ranges are, not the result.
     """
-    return _from_counts(value_counts(df, keys, value), keys, value, probs, depth)
+    return _Counts(df, keys, value, range_rows).quantiles(probs)
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -28,20 +38,46 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return known.groupBy(*keys, value).agg(F.count("*").alias("_n"))
 
 
-def _from_counts(counts, keys, value, probs, depth=6) -> DataFrame:
-    buckets = 2**depth
-    grid = [i / buckets for i in range(1, buckets)]
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx(value, grid, 1000).alias("_cuts"), F.sum("_n").alias("_total")
-    )
-    # number of cut points below the value, by halving
-    tagged = counts.join(cuts, keys).withColumn("_bucket", F.lit(0))
-    for step in (2**i for i in reversed(range(depth))):
-        cut = F.col("_cuts")[F.col("_bucket") + (step - 1)]
-        tagged = tagged.withColumn(
-            "_bucket", F.col("_bucket") + F.when(cut < F.col(value), step).otherwise(0)
+class _Counts:
+    """Written counts of the distinct values of each key."""
+
+    def __init__(self, df: DataFrame, keys: list[str], value: str, range_rows: int) -> None:
+        self.keys, self.value = keys, value
+        self.rows = materialize(value_counts(df, keys, value), "value-counts")
+        per_key = self.rows.groupBy(*keys).agg(F.count("*").alias("rows"))
+        self.n_keys, largest = per_key.agg(F.count("*"), F.max("rows")).first()
+        # halvings until the values of the largest key fit, one more as the ranges are not quite even
+        self.depth = max(1, math.ceil(math.log2(max(1, (largest or 0) / range_rows))) + 1)
+
+    def with_keys(self, small: DataFrame, row_bytes: int) -> DataFrame:
+        """The counts joined to a row of each key, without a shuffle of the counts if there are few keys."""
+        if self.n_keys * row_bytes <= SMALL_BYTES:
+            small = F.broadcast(small)
+        return self.rows.join(small, self.keys)
+
+    def tagged(self) -> DataFrame:
+        """The counts with the total of their key and the number of their range."""
+        keys, value, buckets = self.keys, self.value, 2**self.depth
+        grid = [i / buckets for i in range(1, buckets)]
+        cuts = self.rows.groupBy(*keys).agg(
+            # each cut is off by less than a quarter of a range
+            F.percentile_approx(value, grid, max(1000, 4 * buckets)).alias("_cuts"),
+            F.sum("_n").alias("_total"),
         )
-    tagged = tagged.select(*keys, value, "_n", "_total", "_bucket")
+        # number of cut points below the value, by halving
+        tagged = self.with_keys(cuts, 64 + 8 * buckets).withColumn("_bucket", F.lit(0))
+        for step in (2**i for i in reversed(range(self.depth))):
+            cut = F.col("_cuts")[F.col("_bucket") + (step - 1)]
+            tagged = tagged.withColumn(
+                "_bucket", F.col("_bucket") + F.when(cut < F.col(value), step).otherwise(0)
+            )
+        return tagged.select(*keys, value, "_n", "_total", "_bucket")
+
+    def quantiles(self, probs: dict[str, float]) -> DataFrame:
+        return _from_ranges(self.tagged(), self.keys, self.value, probs)
+
+
+def _from_ranges(tagged: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     wanted = F.lit(False)
     positions = {}
     for name, p in probs.items():
@@ -95,16 +131,22 @@ def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return wide.unpivot(keys, columns, "metric", "value")
 
 
-def box_stats(df: DataFrame, keys: list[str], columns: list[str], reach: float = 1.5) -> DataFrame:
+def box_stats(
+    df: DataFrame,
+    keys: list[str],
+    columns: list[str],
+    reach: float = 1.5,
+    range_rows: int = RANGE_ROWS,
+) -> DataFrame:
     """Quartiles, whiskers at ``reach`` x IQR and outlier count of each column."""
     by = [*keys, "metric"]
-    counts = value_counts(unpivot(df, keys, columns), by, "value")
-    quartiles = _from_counts(counts, by, "value", QUARTILES)
+    counts = _Counts(unpivot(df, keys, columns), by, "value", range_rows)
+    quartiles = counts.quantiles(QUARTILES)
     iqr = F.col("q3") - F.col("q1")
     low, high = F.col("q1") - reach * iqr, F.col("q3") + reach * iqr
     inner = F.when(F.col("value").between(low, high), F.col("value"))
     return (
-        counts.join(quartiles, by)
+        counts.with_keys(quartiles, 128)
         .groupBy(*by, "q1", "median", "q3")
         .agg(
             F.sum("_n").alias("n"),

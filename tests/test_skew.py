@@ -108,3 +108,30 @@ def test_counts(items, frame):
     assert found == {c: frame[c].nunique() for c in found}
     shares = {r["category"]: r["share"] for r in tables.frequency(items, "category").collect()}
     assert shares == pytest.approx((frame["category"].value_counts() / len(frame)).to_dict())
+
+
+def test_ranges_of_quantiles_stay_small(spark):
+    """Near-unique values: the largest sorted range does not grow with the rows."""
+    for n in (20_000, 200_000):
+        df = spark.range(n).select(
+            (F.col("id") % 2).alias("g"), (F.xxhash64("id") % 1_000_003).cast("double").alias("v")
+        )
+        counts = quantiles._Counts(df, ["g"], "v", 1000)
+        largest = counts.tagged().groupBy("g", "_bucket").count().agg(F.max("count")).first()[0]
+        assert largest <= 1000
+        got = {r["g"]: (r["q1"], r["median"], r["q3"]) for r in counts.quantiles(quantiles.QUARTILES).collect()}
+        frame = df.toPandas()
+        for g, part in frame.groupby("g"):
+            assert got[g] == pytest.approx(tuple(part["v"].quantile([0.25, 0.5, 0.75])))
+
+
+def test_counts_of_few_keys_are_not_shuffled_by_key(spark):
+    df = spark.range(5000).select(F.rand(3).alias("v"), F.lit("a").alias("g"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tagged = quantiles._Counts(df, ["g"], "v", 1000).tagged()
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
