@@ -8,7 +8,7 @@ from supplycast.functions.geo import EARTH_RADIUS_KM
 from supplycast.functions.stats import normal_quantile
 from supplycast.operators.cluster import FEATURES
 from supplycast.operators.kpi import KPI_COLUMNS
-from workload.queries import CENTRES, MONTHS_VALID
+from workload.queries import CENTRES, DAYS_VALID, MONTHS_VALID
 
 ORACLES: dict[str, str] = {}
 
@@ -205,6 +205,14 @@ def filled(source: str, name: str, key: str, value: str, keep: str) -> str:
   FROM {name}_near)"""
 
 
+#: the daily series under the name and columns of the monthly one
+FILLED_DAILY = [
+    *DENSE_DAILY,
+    filled("dense", "whole", "cluster", "orders", "ds"),
+    "monthly AS MATERIALIZED (SELECT cluster, ds, t, filled AS value FROM whole)",
+]
+
+
 # -- sources and sinks ----------------------------------------------------------------------
 
 query(
@@ -493,14 +501,23 @@ query(
 
 # -- audits ---------------------------------------------------------------------------------
 
+_ENTITIES = {
+    "order_id": "o_orderkey) FROM orders",
+    "customer_id": "c_custkey) FROM customer",
+    "customer_zip": "c_nationkey) FROM customer",
+    "seller_id": "s_suppkey) FROM supplier",
+    "seller_zip": "s_nationkey) FROM supplier",
+    "product_id": "p_partkey) FROM part",
+    "category": "category) FROM prod",
+    "zip": "n_nationkey) FROM nation",
+    "region": "r_name) FROM nation JOIN region ON n_regionkey = r_regionkey",
+}
 query(
     "granularity",
-    [ORDERS, ITEMS, ITEM_ORDERS, PRODUCTS],
+    [PRODUCTS],
     " UNION ALL ".join(
-        f"SELECT '{c}' AS entity, count(DISTINCT {c}) AS n_distinct "
-        "FROM io LEFT JOIN prod USING (product_id)"
-        for c in ("order_id", "customer_id", "seller_id", "product_id", "category")
-    ),
+        f"SELECT '{name}' AS entity, count(DISTINCT {source}" for name, source in _ENTITIES.items()
+    ).replace(") FROM", ") AS n_distinct FROM"),
 )
 query(
     "time_extent",
@@ -509,25 +526,51 @@ query(
   CAST(datediff('day', min(dt_purchase), max(dt_purchase)) + 1 AS INTEGER) AS n_days FROM ord""",
 )
 _PROFILED = {
+    "customers": ("customer", ["c_custkey AS customer_id", "c_nationkey AS customer_zip"]),
+    "sellers": ("supplier", ["s_suppkey AS seller_id", "s_nationkey AS seller_zip"]),
     "products": ("prod", ["product_id", "category"]),
     "orders": (
-        "ord",
+        "ord JOIN orders ON order_id = o_orderkey",
         ["order_id", "customer_id", "status", "dt_purchase", "dt_approved", "dt_limit",
-         "dt_estimated", "review_score"],
+         "dt_estimated", "review_score", "o_totalprice AS order_value"],
+    ),
+    "items": (
+        "itm",
+        ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value",
+         "dt_shipped", "dt_delivered"],
+    ),
+    "reviews": (
+        "ord, unnest(CASE WHEN order_id % 10 = 0 THEN [review_score, 6 - review_score] "
+        "ELSE [review_score] END) AS u(score)",
+        ["order_id", "score"],
+    ),
+    "payments": (
+        "orders, unnest(range(1, 2 + o_orderkey % 3)) AS u(payment_sequence)",
+        ["o_orderkey AS order_id", "payment_sequence", "o_totalprice AS payment_value"],
+    ),
+    "geolocation": (
+        "customer",
+        ["c_nationkey AS zip", "c_nationkey + c_custkey AS lat", "c_nationkey - c_custkey AS lng"],
     ),
-    "items": ("itm", ["order_id", "product_id", "seller_id", "price", "dt_shipped"]),
 }
+
+
+def _profile(name: str, source: str, columns: list[str]) -> str:
+    pairs = [c.split(" AS ") for c in columns]
+    whole = " AND ".join(f"{pair[0]} IS NOT NULL" for pair in pairs)
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n, count(*) FILTER (WHERE {whole}) AS "
+        f"n_complete, '{pair[-1]}' AS column_name, count(*) - count({pair[0]}) AS n_missing "
+        f"FROM {source}"
+        for pair in pairs
+    )
+
+
 query(
     "missing_profile",
     [ORDERS, ITEMS, PRODUCTS],
     "SELECT *, n_missing / n AS missing_share, n_complete / n AS complete_share FROM ("
-    + " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n, count(*) FILTER (WHERE "
-        + " AND ".join(f"{x} IS NOT NULL" for x in columns)
-        + f") AS n_complete, '{c}' AS column_name, count(*) - count({c}) AS n_missing FROM {source}"
-        for name, (source, columns) in _PROFILED.items()
-        for c in columns
-    )
+    + " UNION ALL ".join(_profile(n, *parts) for n, parts in _PROFILED.items())
     + ")",
 )
 query(
@@ -549,6 +592,13 @@ query(
     f"""SELECT {iso("CAST(date_trunc('month', dt_purchase) AS DATE)")} AS month, customer_region,
   CAST(sum(money) AS DOUBLE) AS revenue, count(*) AS n_items FROM placed GROUP BY 1, 2""",
 )
+query(
+    "state_month_revenue",
+    [ORDERS, ITEMS, ITEM_ORDERS],
+    f"""SELECT {iso("CAST(date_trunc('month', dt_purchase) AS DATE)")} AS month,
+  c_nationkey AS customer_zip, CAST(sum(money) AS DOUBLE) AS revenue, count(*) AS n_items
+FROM io LEFT JOIN customer ON customer_id = c_custkey GROUP BY 1, 2""",
+)
 VIOLATIONS = """
 viol AS (
   SELECT *, 'approved_after_posting' AS violation FROM io WHERE dt_approved > dt_shipped
@@ -857,6 +907,12 @@ query(
 FROM four""",
 )
 
+query(
+    "fourier_decompose_daily",
+    [*FILLED_DAILY, *_fourier_ctes(7, 365)],
+    ORACLES["fourier_decompose"][ORACLES["fourier_decompose"].rindex("SELECT cluster, CAST(t") :],
+)
+
 for _kind, _minus in (("additive", "{} - {}"), ("multiplicative", "{} / {}")):
     _raw = _minus.format("value", "trend")
     query(
@@ -896,37 +952,43 @@ query(
 
 # -- diagnostics ----------------------------------------------------------------------------
 
-LAGS = """
+def lags(most: int) -> str:
+    return f"""
 cen AS (SELECT cluster, t, n, r - avg(r) OVER (PARTITION BY cluster) AS e FROM res),
 rho AS (
   SELECT a.cluster, a.n, a.t - b.t AS lag,
     sum(a.e * b.e) / any_value(d.s) AS acf
-  FROM cen a JOIN cen b ON a.cluster = b.cluster AND a.t - b.t BETWEEN 1 AND 24
+  FROM cen a JOIN cen b ON a.cluster = b.cluster AND a.t - b.t BETWEEN 1 AND {most}
   JOIN (SELECT cluster, sum(e * e) AS s FROM cen GROUP BY 1) d ON d.cluster = a.cluster
   GROUP BY 1, 2, 3)"""
+
+
 query(
     "acf",
-    [*MONTH, RESIDUALS, LAGS],
+    [*MONTH, RESIDUALS, lags(24)],
     f"""SELECT cluster, CAST(lag AS INTEGER) AS lag, {q4("acf")} AS acf,
   {q4("1.96 / sqrt(n)")} AS bound FROM rho""",
 )
-query(
-    "ljung_box",
-    [
-        *MONTH,
+
+
+def portmanteau(most: int, lag: int, fit_df: int) -> list[str]:
+    """Statistic over ``lag`` lags at most; with even degrees its tail is a finite Poisson sum."""
+    return [
         RESIDUALS,
-        LAGS,
-        """lb AS (
+        lags(most),
+        f"""lb AS (
   SELECT cluster, n, max(lag) AS lag, n * (n + 2) * sum(acf * acf / (n - lag)) AS q
-  FROM rho WHERE lag <= least(10, n // 5) GROUP BY 1, 2)""",
-        """tail AS (
-  -- the degrees of freedom are even: the tail is a finite Poisson sum
-  SELECT *, lag - 2 AS df, list_sum(list_transform(
+  FROM rho WHERE lag <= least({lag}, n // 5) GROUP BY 1, 2)""",
+        f"""tail AS (
+  SELECT *, lag - {fit_df} AS df, list_sum(list_transform(
     range(0, df // 2), lambda k: exp(k * ln(q / 2) - q / 2 - lgamma(k + 1)))) AS p FROM lb)""",
-    ],
-    f"""SELECT cluster, CAST(n AS INTEGER) AS n, CAST(lag AS INTEGER) AS lag, {q4("q")} AS q,
-  CAST(df AS INTEGER) AS df, {q4("greatest(0.0, least(1.0, p))")} AS p_value FROM tail""",
-)
+    ]
+
+
+_PORTMANTEAU = f"""SELECT cluster, CAST(n AS INTEGER) AS n, CAST(lag AS INTEGER) AS lag, {q4("q")} AS q,
+  CAST(df AS INTEGER) AS df, {q4("greatest(0.0, least(1.0, p))")} AS p_value FROM tail"""
+query("ljung_box", [*MONTH, *portmanteau(24, 10, 2)], _PORTMANTEAU)
+query("ljung_box_daily", [*FILLED_DAILY, *portmanteau(730, 730, 1)], _PORTMANTEAU)
 query(
     "residual_histogram",
     [*MONTH, RESIDUALS],
@@ -1067,6 +1129,23 @@ query(
     )
     + " FROM path",
 )
+DAYS_HOLT = [
+    *FILLED_DAILY,
+    f"""parts AS (
+  SELECT *, CASE WHEN t > max(t) OVER (PARTITION BY cluster) - {DAYS_VALID} THEN 'valid'
+    ELSE 'train' END AS split
+  FROM monthly)""",
+    "obs AS MATERIALIZED (SELECT cluster, t, value AS y FROM parts WHERE split = 'train')",
+    *[c.replace("seller_id", "cluster").replace("range(1, 5)", f"range(1, {DAYS_VALID + 1})")
+      for c in SELLER_HOLT[6:]],
+]
+
+
+def _bounds(source: str, key: str) -> str:
+    return ORACLES["holt_fixed_forecast"].rpartition("\n")[2].replace("seller_id", key)
+
+
+query("holt_daily", DAYS_HOLT, _bounds("path", "cluster"))
 query(
     "growth_verdict_fixed",
     SELLER_HOLT,
@@ -1120,12 +1199,9 @@ query(
 
 # -- evaluation -----------------------------------------------------------------------------
 
-SCORED = f"""
-sc AS (
-  {" UNION ALL ".join(
-    f"SELECT *, '{name}' AS model, {trailing(order)} AS f FROM parts"
-    for name, order in (("mean_3", 3), ("mean_6", 6), ("last_value", 1))
-  )}),
+def errors(season: int) -> str:
+    """Scores of the forecasts ``f`` in ``sc``; ``parts`` holds the series."""
+    return f"""
 err AS (SELECT *, value - f AS e, avg(value - f) OVER g AS me,
     lag(value) OVER go AS pv, lag(value - f) OVER go AS pe
   FROM sc WHERE f IS NOT NULL
@@ -1133,7 +1209,7 @@ err AS (SELECT *, value - f AS e, avg(value - f) OVER g AS me,
     go AS (PARTITION BY cluster, model, split ORDER BY t)),
 scale AS (
   SELECT cluster, avg(abs(d)) AS s FROM (
-    SELECT cluster, value - lag(value, 12) OVER (PARTITION BY cluster ORDER BY t) AS d
+    SELECT cluster, value - lag(value, {season}) OVER (PARTITION BY cluster ORDER BY t) AS d
     FROM parts WHERE split = 'train') GROUP BY 1),
 scores AS (
   SELECT cluster, model, split, count(*) AS n, avg(e) AS me, sqrt(avg(e * e)) AS rmse,
@@ -1142,17 +1218,36 @@ scores AS (
     sqrt(sum(pow(e / pv, 2)) / sum(pow((value - pv) / pv, 2))) AS theils_u,
     avg(abs(e)) / any_value(s) AS mase
   FROM err JOIN scale USING (cluster) GROUP BY 1, 2, 3)"""
+
+
+SCORED = f"""
+sc AS (
+  {" UNION ALL ".join(
+    f"SELECT *, '{name}' AS model, {trailing(order)} AS f FROM parts"
+    for name, order in (("mean_3", 3), ("mean_6", 6), ("last_value", 1))
+  )})"""
 _SCORES = ("me", "rmse", "mae", "mpe", "mape", "acf1", "theils_u", "mase")
 query(
     "accuracy",
-    [*MONTH, SPLIT, SCORED],
+    [*MONTH, SPLIT, SCORED, errors(12)],
     "SELECT cluster, model, split, n, "
     + ", ".join(f"{q4(c)} AS {c}" for c in _SCORES)
     + " FROM scores",
 )
+query(
+    "accuracy_daily",
+    [
+        *DAYS_HOLT,
+        """sc AS (
+  SELECT parts.*, 'holt_fixed' AS model, mean AS f
+  FROM parts JOIN path USING (cluster, t) WHERE split = 'valid')""",
+        errors(7),
+    ],
+    ORACLES["accuracy"].rpartition("\n")[2],
+)
 query(
     "best_model",
-    [*MONTH, SPLIT, SCORED],
+    [*MONTH, SPLIT, SCORED, errors(12)],
     f"""SELECT cluster, first(model ORDER BY rmse, model) AS best_model,
   {q4("min(rmse)")} AS best_rmse, count(*) AS n_models
 FROM scores WHERE split = 'valid' GROUP BY 1""",

@@ -39,6 +39,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CLUSTER = ["cluster"]
 MONTHS_VALID = 12
+DAYS_VALID = 17
 
 
 def query(function: Query) -> Query:
@@ -111,6 +112,12 @@ def seller_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return filled.select("seller_id", "ds", "t", F.col("filled").alias("value"))
 
 
+def filled_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Gap-free daily number of items per cluster: ``(cluster, ds, t, value)``."""
+    filled = repair.interpolate(dense_daily(spark, folder), CLUSTER, "orders")
+    return filled.select("cluster", "ds", "t", F.col("filled").alias("value"))
+
+
 def packed_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return spine.pack(monthly(spark, folder), CLUSTER)
 
@@ -461,9 +468,16 @@ def kpi_boxstats(spark, folder):
 
 @query
 def granularity(spark, folder):
-    items = marketplace.order_items(spark, folder, category=True)
-    columns = ["order_id", "customer_id", "seller_id", "product_id", "category"]
-    return audit.granularity(items, columns)
+    """Distinct entities of every table, sold or not; postal codes stand in for cities."""
+    m = marketplace
+    parts = [
+        audit.granularity(m.orders(spark, folder), ["order_id"]),
+        audit.granularity(m.customers(spark, folder), ["customer_id", "customer_zip"]),
+        audit.granularity(m.sellers(spark, folder), ["seller_id", "seller_zip"]),
+        audit.granularity(m.products(spark, folder), ["product_id", "category"]),
+        audit.granularity(m.zip_points(spark, folder), ["zip", "region"]),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -473,16 +487,19 @@ def time_extent(spark, folder):
 
 @query
 def missing_profile(spark, folder):
+    """All columns of all eight tables."""
     m = marketplace
-    return audit.missing_profile(
-        {
-            "products": m.products(spark, folder),
-            "orders": m.orders(spark, folder).drop("order_value"),
-            "items": m.items(spark, folder).select(
-                "order_id", "product_id", "seller_id", "price", "dt_shipped"
-            ),
-        }
-    )
+    tables_of = {
+        "customers": m.customers,
+        "sellers": m.sellers,
+        "products": m.products,
+        "orders": m.orders,
+        "items": m.items,
+        "reviews": m.reviews,
+        "payments": m.payments,
+        "geolocation": m.geolocation,
+    }
+    return audit.missing_profile({name: read(spark, folder) for name, read in tables_of.items()})
 
 
 @query
@@ -500,6 +517,13 @@ def region_month_revenue(spark, folder):
     return audit.revenue_by_month(marketplace.order_items(spark, folder, places=True))
 
 
+@query
+def state_month_revenue(spark, folder):
+    """Revenue below the region: nations stand in for states."""
+    items = marketplace.order_items(spark, folder, places=True)
+    return audit.revenue_by_month(items, "customer_zip")
+
+
 @query
 def process_violations(spark, folder):
     rows = audit.violations(marketplace.order_items(spark, folder))
@@ -664,6 +688,12 @@ def fourier_decompose(spark, folder):
     return cut(out, "trend", "season", "remainder")
 
 
+@query
+def fourier_decompose_daily(spark, folder):
+    out = decompose.fourier_decompose(filled_daily(spark, folder), CLUSTER, 365, 7)
+    return cut(out, "trend", "season", "remainder")
+
+
 @query
 def linear_trend(spark, folder):
     fits = decompose.linear_trend(monthly(spark, folder), CLUSTER)
@@ -728,6 +758,14 @@ def ljung_box(spark, folder):
     return cut(diagnose.ljung_box(packed, CLUSTER, fit_df=2), "q", "p_value")
 
 
+@query
+def ljung_box_daily(spark, folder):
+    """Residuals of the daily trend over up to two years of lags."""
+    rows, _ = decompose.polynomial_trend(filled_daily(spark, folder), CLUSTER, 1)
+    packed = spine.pack(rows, CLUSTER, "residual")
+    return cut(diagnose.ljung_box(packed, CLUSTER, freq=365, fit_df=1), "q", "p_value")
+
+
 @query
 def residual_histogram(spark, folder):
     return diagnose.residual_histogram(trend_residuals(spark, folder), CLUSTER)
@@ -769,6 +807,21 @@ def holt_fixed_forecast(spark, folder):
     return cut(out, "mean", "lo_80", "hi_80", "lo_95", "hi_95")
 
 
+def _daily_holdout(spark, folder):
+    """Daily series with its last days held out, and their forecast with fixed weights."""
+    split = spine.split_last(filled_daily(spark, folder), CLUSTER, DAYS_VALID)
+    packed = spine.pack(split.where("split = 'train'"), CLUSTER)
+    run = smoothing.holt_fixed(packed, CLUSTER, 0.5, 0.1, 0.9)
+    return split, smoothing.holt_forecast(run, CLUSTER, DAYS_VALID)
+
+
+@query
+def holt_daily(spark, folder):
+    """Seventeen days ahead from all but the last seventeen, fixed weights."""
+    _, out = _daily_holdout(spark, folder)
+    return cut(out.drop("model"), "mean", "lo_80", "hi_80", "lo_95", "hi_95")
+
+
 @query
 def growth_verdict_fixed(spark, folder):
     """Direction of every seller's forecast with fixed weights."""
@@ -904,6 +957,17 @@ def accuracy(spark, folder):
     return cut(_scores(spark, folder), *SCORES)
 
 
+@query
+def accuracy_daily(spark, folder):
+    """Scores of the daily forecast on the days held out; weekly steps scale MASE."""
+    split, paths = _daily_holdout(spark, folder)
+    actual = split.withColumnRenamed("value", "actual")
+    forecast = paths.select("cluster", "t", "model", F.col("mean").alias("forecast"))
+    scored = actual.where("split = 'valid'").join(forecast, ["cluster", "t"])
+    train = actual.where("split = 'train'")
+    return cut(evaluate.accuracy(scored, train, CLUSTER, season=7), *SCORES)
+
+
 @query
 def best_model(spark, folder):
     return cut(evaluate.best_model(_scores(spark, folder), CLUSTER), "best_rmse")
