@@ -1,16 +1,24 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule compares one ratio of a text with a cutoff and rejects above it.  Cutoffs are not chosen by
-hand: rows labelled good are held out, and per stratum a cutoff counts as safe when the exact binomial
-(Clopper-Pearson) upper bound of its false-rejection rate stays under the rule's share of the risk.
-The bound holds for all strata, rules and candidate cutoffs at once (Bonferroni), so taking the
-strictest safe cutoff of each rule keeps the promise.  A stratum without enough labels has no safe
-cutoff and rejects nothing by these rules.
+hand: rows labelled good are held out, and per stratum a set of cutoffs, one for each rule, counts as safe
+when the exact binomial (Clopper-Pearson) upper bound of the rate at which all rules together reject
+good texts stays within the risk.
+
+The sets are tested in a fixed sequence from loose to strict that ends at the first unsafe one, so the
+level is divided by the number of strata only, not by rules or cutoffs.  The sequence is laid out on other
+rows: a fifth of the good ones (``PILOT``), chosen by a hash of their ids, and the rows labelled bad.
+
+A stratum with too few good rows even for none rejected is calibrated on the pool of all such strata, and
+if these are too few together, on the pool of all strata.  The bound then holds for the texts of the pool as
+a whole, not for each language in it.  Without good labels a stratum rejects nothing by these rules.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from typing import NamedTuple
 
 import numpy as np
@@ -46,7 +54,7 @@ class Rule(NamedTuple):
     grid: tuple[float, ...]
 
 
-#: fixed candidates, so the choice among them is covered by the correction
+#: fixed candidates, tried from the largest down
 RULES = (
     Rule("symbols", "n_symbols", "n_words", (0.05, 0.1, 0.2, 0.4, 0.8, 1.5)),
     Rule("marks", "n_marks", "n_words", (0.2, 0.4, 0.8, 1.5)),
@@ -57,6 +65,8 @@ RULES = (
 )
 RISK = 0.02
 CONFIDENCE = 0.95
+#: one of so many good rows lays out the sequence and is not counted in the bound
+PILOT = 5
 
 
 def count_texts(column: pa.Array) -> dict[str, np.ndarray]:
@@ -147,6 +157,63 @@ def is_safe(rejected: int, n: int, risk: float, level: float) -> bool:
     return binomial_cdf(rejected, n, risk) <= level
 
 
+def _level(rule: Rule, counts: str) -> Column:
+    """How many cutoffs of the rule's grid a text exceeds."""
+    over = [(_metric(rule, counts) > cut).cast("int") for cut in rule.grid]
+    return functools.reduce(operator.add, over)
+
+
+def _rejected(cells: np.ndarray, depth: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Cells that any rule rejects when the ``depth`` loosest cutoffs of each rule are in use."""
+    return (cells + depth > sizes).any(axis=1)
+
+
+def sequence(
+    cells: np.ndarray, n_pilot: np.ndarray, n_bad: np.ndarray, sizes: np.ndarray
+) -> list[np.ndarray]:
+    """Sets of cutoffs from loose to strict, each tightening one rule of the set before by one cutoff.
+
+    ``cells`` holds distinct rows of levels, ``n_pilot`` and ``n_bad`` the rows of each.  Next comes what rejects
+    the fewest pilot rows for the sake of further bad ones, of these what rejects most of the bad ones;
+    cutoffs that reject no further bad row come last.
+    """
+    depth, out = np.zeros(len(sizes), np.int64), []
+    while (depth < sizes).any():
+        gone = _rejected(cells, depth, sizes)
+        moves = []
+        for rule in np.flatnonzero(depth < sizes):
+            for to in range(depth[rule] + 1, sizes[rule] + 1):
+                then = depth.copy()
+                then[rule] = to
+                new = _rejected(cells, then, sizes) & ~gone
+                caught = int(n_bad[new].sum())
+                moves.append((not caught, int(n_pilot[new].sum()), -caught, to, int(rule)))
+        *_, to, rule = min(moves)
+        while depth[rule] < to:
+            depth[rule] += 1
+            out.append(depth.copy())
+    return out
+
+
+def safe_cuts(
+    cells: list[dict], rules: tuple[Rule, ...], risk: float, level: float
+) -> list[float | None]:
+    """The cutoffs of the last set before the first unsafe one, null for rules not in use."""
+    grids = [sorted(r.grid) for r in rules]
+    sizes = np.array([len(g) for g in grids])
+    levels = np.array([c["levels"] for c in cells], np.int64).reshape(-1, len(rules))
+    n_pilot, n_test, n_bad = (
+        np.array([c[k] for c in cells], np.int64) for k in ("n_pilot", "n_test", "n_bad")
+    )
+    best = np.zeros(len(rules), np.int64)
+    for depth in sequence(levels, n_pilot, n_bad, sizes):
+        rejected = int(n_test[_rejected(levels, depth, sizes)].sum())
+        if not is_safe(rejected, int(n_test.sum()), risk, level):
+            break
+        best = depth
+    return [g[len(g) - k] if k else None for g, k in zip(grids, best, strict=True)]
+
+
 def calibrate(
     counted: DataFrame,
     labels: DataFrame,
@@ -159,58 +226,89 @@ def calibrate(
     risk: float = RISK,
     confidence: float = CONFIDENCE,
 ) -> DataFrame:
-    """Strictest safe cutoff of every rule, one row ``(stratum, n_good, cuts)`` per stratum.
+    """Safe cutoffs of all rules, one row ``(stratum, n_good, pooled, cuts)`` per stratum with good labels.
+
+    ``counted`` has the text counts as struct column ``counts``.  Rows labelled 1 are the good ones, rows
+    with other labels only the bad ones; labels of unknown documents and null ids or labels are left
+    out, repeated labels count once, repeated documents as often as they stand there.  ``cuts`` holds null
+    where nothing is safe.  At most the share ``risk`` of a stratum's good texts (of the pool's where
+    ``pooled``) is wrongly rejected by all rules together, with the given confidence over all strata.
 
-    ``counted`` has the text counts as struct column ``counts``.  Rows labelled 1 are the good ones;
-    labels of unknown documents and null ids or labels are left out, repeated labels count once,
-    repeated documents as often as they stand there.  ``cuts`` holds null where nothing is safe.
-    Each rule gets an equal share of ``risk``, so at most that share of a stratum's good texts is
-    wrongly rejected by all rules together, with the given confidence over all strata.
+    Rows are counted by the cutoffs they exceed before anything is gathered, so a stratum has at most as
+    many rows as there are combinations of cutoffs.
     """
-    good = labels.where(F.col(label) == 1).select(F.col(doc_id).alias("good_id")).distinct()
+    known = (
+        labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
+        .groupBy(F.col(doc_id).alias("label_id"))
+        .agg(F.max((F.col(label) == 1).cast("int")).alias("good"))
+    )
+    pilot = F.pmod(F.xxhash64(F.lit("pilot"), "label_id"), F.lit(PILOT)) == 0
     rows = counted.select(
-        F.col(doc_id).alias("good_id"),
+        F.col(doc_id).alias("id"),
         F.col(stratum).alias("stratum"),
-        F.array(*[_metric(r, counts) for r in rules]).alias("metrics"),
-    ).join(good, "good_id", "left_semi")
-    over = [
-        F.sum((F.col("metrics")[i] > cut).cast("long"))
-        for i, rule in enumerate(rules)
-        for cut in rule.grid
-    ]
-    table = (
-        rows.groupBy("stratum")
-        .agg(F.count(F.lit(1)).alias("n_good"), F.array(*over).alias("over"))
-        .withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))  # a row per stratum
+        fixed_failed(counts).alias("failed"),
+        F.array(*[_level(r, counts) for r in rules]).alias("levels"),
+    ).join(known, F.col("id") == F.col("label_id"))
+    good = F.col("good") == 1
+    cells = rows.groupBy("stratum", "levels").agg(
+        F.sum((good & pilot).cast("long")).alias("n_pilot"),
+        F.sum((good & ~pilot).cast("long")).alias("n_test"),
+        F.sum((~good & ~F.col("failed")).cast("long")).alias("n_bad"),
+    )
+    every = Window.partitionBy(F.lit(1))  # over a row per stratum
+    level = F.lit(1 - confidence) / F.count(F.lit(1)).over(every)
+    sizes = (
+        cells.groupBy("stratum")
+        .agg(F.sum("n_test").alias("tests"), F.sum(F.col("n_pilot") + F.col("n_test")).alias("n_good"))
+        .where("n_good > 0")
+        .withColumn("level", level)
+        .withColumn("pooled", F.pow(F.lit(1 - risk), "tests") > F.col("level"))
+        .withColumn("pool", F.sum(F.when(F.col("pooled"), F.col("tests"))).over(every))
+        .withColumn("wide", F.pow(F.lit(1 - risk), "pool") > F.col("level"))
+    )
+    key = F.struct("pooled", F.when(~F.col("pooled"), F.col("stratum")).alias("own"))
+    pool = F.struct(F.lit(True).alias("pooled"), F.when(F.lit(False), F.col("stratum")).alias("own"))
+    into = F.when(~F.col("pooled") & F.coalesce("wide", F.lit(False)), F.array(key, pool))
+    size = sizes.withColumn("into", into.otherwise(F.array(key))).withColumnRenamed("stratum", "of")
+    groups = (
+        cells.join(size, F.col("stratum").eqNullSafe(F.col("of")))
+        .withColumn("key", F.explode("into"))
+        .groupBy("key", "level", "levels")
+        .agg(*[F.sum(c).alias(c) for c in ("n_pilot", "n_test", "n_bad")])
+        .groupBy("key", "level")
+        .agg(F.collect_list(F.struct("levels", "n_pilot", "n_test", "n_bad")).alias("cells"))
     )
-    tests = sum(len(r.grid) for r in rules)
 
     def choose(batches):
         for batch in batches:
-            cuts = []
-            for n, over, strata in zip(
-                *(batch.column(c).to_pylist() for c in ("n_good", "over", "strata")), strict=True
-            ):
-                left, best = iter(over), []
-                for rule in rules:
-                    safe = [
-                        cut
-                        for cut, k in zip(rule.grid, left)  # noqa: B905
-                        if is_safe(k, n, risk / len(rules), (1 - confidence) / (tests * strata))
-                    ]
-                    best.append(min(safe, default=None))
-                cuts.append(best)
+            cuts = [
+                safe_cuts(found, rules, risk, at)
+                for found, at in zip(
+                    *(batch.column(c).to_pylist() for c in ("cells", "level")), strict=True
+                )
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("stratum"),
-                    batch.column("n_good"),
+                    batch.column("cut_pooled"),
+                    batch.column("cut_stratum"),
                     pa.array(cuts, pa.list_(pa.float64())),
                 ],
-                names=["stratum", "n_good", "cuts"],
+                names=["cut_pooled", "cut_stratum", "cuts"],
             )
 
     kind = counted.schema[stratum].dataType.simpleString()
-    return table.mapInArrow(choose, f"stratum {kind}, n_good long, cuts array<double>")
+    chosen = groups.select(
+        F.col("key.pooled").alias("cut_pooled"), F.col("key.own").alias("cut_stratum"), "level", "cells"
+    ).mapInArrow(choose, f"cut_pooled boolean, cut_stratum {kind}, cuts array<double>")
+    own = F.when(~F.col("pooled"), F.col("stratum"))
+    same = (F.col("pooled") == F.col("cut_pooled")) & own.eqNullSafe(F.col("cut_stratum"))
+    return sizes.join(chosen, same).select("stratum", "n_good", "pooled", "cuts")
+
+
+def fixed_failed(counts: str) -> Column:
+    """The fixed rule: under 50 words, or more than half of them in repeated windows."""
+    words, repeated = (F.col(f"`{counts}`.{c}") for c in ("n_words", "n_repeat_words"))
+    return (words < 50) | (100 * repeated > 50 * words)
 
 
 def verdicts(
@@ -233,8 +331,7 @@ def verdicts(
     key, cuts = fresh("stratum_of_cut", counted), fresh("cuts", counted)
     chosen = cutoffs.select(F.col("stratum").alias(key), F.col("cuts").alias(cuts))
     joined = counted.join(chosen, F.col(stratum).eqNullSafe(F.col(key)), "left")
-    words, repeated = (F.col(f"`{counts}`.{c}") for c in ("n_words", "n_repeat_words"))
-    fixed = (words < 50) | (100 * repeated > 50 * words)
+    fixed = fixed_failed(counts)
     names = [
         F.when(_metric(rule, counts) > F.col(cuts)[i], F.lit(rule.name))
         for i, rule in enumerate(rules)

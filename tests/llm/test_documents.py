@@ -240,6 +240,41 @@ def test_quality_rules_reject_and_spare(spark):
     assert len(judged) == 4056
 
 
+def test_quality_rules_reject_labelled_junk(spark):
+    """On a whole table, also in languages with few labels, against the rates counted here one by one."""
+    folder = "/root/testdata/sf0.1"
+    quality = {r["doc_id"]: r["quality"] for r in table(spark, folder, "labels").collect()}
+    lang = dict(table(spark, folder, "documents").select("doc_id", "lang").collect())
+    found, good = Counter(), Counter()
+    for r in QUERIES["op1_quality_rules"](spark, folder).collect():
+        if quality.get(r["doc_id"]) == 1:
+            good[lang[r["doc_id"]]] += 1
+            found["spared", lang[r["doc_id"]]] += not r["broken_rules"]
+        elif r["doc_id"] in quality and not r["base_failed"]:
+            found["bad", lang[r["doc_id"]]] += 1
+            found["rejected", lang[r["doc_id"]]] += not r["kept"]
+    assert len(good) == 4
+    for name, n in good.items():
+        assert n - found["spared", name] <= quality_rules.RISK * n
+        assert found["rejected", name] >= 0.9 * found["bad", name] > 0
+
+
+def test_quality_rules_pool_small_strata(spark):
+    """Strata too small on their own share a pool; one without labels has no cutoff."""
+    plain = "plain words and more of them in a row {} to the end"
+    rows = [(i, plain.format(i), f"l{i % 4}") for i in range(480)]
+    rows += [(1000 + i, "%%% && " * 40 + f"x{i}", f"l{i % 5}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _, _ in rows], "doc_id long, quality int")
+    counted = quality_rules.count(docs)
+    cuts = quality_rules.calibrate(counted, labels, "lang")
+    assert {(r["stratum"], r["n_good"], r["pooled"]) for r in cuts.collect()} == {
+        (f"l{k}", 120, True) for k in range(4)
+    }
+    for r in quality_rules.verdicts(counted, cuts, "lang").collect():
+        assert bool(r["broken_rules"]) == (r["doc_id"] >= 1000 and r["lang"] != "l4")
+
+
 def test_quality_rules_awkward(spark, awkward, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     counted = quality_rules.count(awkward, counts="text_counts")
