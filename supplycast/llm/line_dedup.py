@@ -17,7 +17,7 @@ MIN_PAGES = 5
 
 
 def _lines(text: str) -> Column:
-    return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+    return F.split(_whole(text), "\n", -1)
 
 
 def _identity(line: Column) -> Column:
@@ -32,30 +32,59 @@ def boilerplate(
     text: str = "text",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    distinct: bool = False,
 ) -> DataFrame:
     """``(host, lines)``: identities of the boilerplate lines of each host that has any.
 
-    Counts are summed before the shuffle, so a host with most pages or a line on most pages costs one
-    row per task.  A host has at most its lines per page divided by ``ratio`` such lines.
+    With ``distinct`` rows of one host with the same text count as one page, in the pages that have
+    the line and in the host's total.  Counts are summed before the shuffle, so a host with most pages or
+    a line on most pages costs one row per task, or one per text.  A host has at most its lines per page
+    divided by ``ratio`` such lines.
     """
-    totals = pages.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("pages"))
+    return _frequent(pages, _totals(pages, host, text, distinct), host, text, ratio, min_pages, distinct)
+
+
+def _totals(pages: DataFrame, host: str, text: str, distinct: bool) -> DataFrame:
+    """Pages of each host."""
+    named = pages.select(F.col(host).alias("total_host"), _identity(_whole(text)).alias("page"))
+    return (named.distinct() if distinct else named).groupBy("total_host").agg(
+        F.count(F.lit(1)).alias("pages")
+    )
+
+
+def _frequent(
+    pages: DataFrame,
+    totals: DataFrame,
+    host: str,
+    text: str,
+    ratio: float,
+    min_pages: int,
+    distinct: bool,
+) -> DataFrame:
     line = F.explode(F.array_distinct(F.filter(_lines(text), lambda x: F.trim(x) != "")))
+    rows = pages.select(
+        F.col(host).alias("host"),
+        *([_identity(_whole(text)).alias("page")] if distinct else []),
+        line.alias("line"),
+    ).withColumn("line", _identity(F.col("line")))
     having = (
-        pages.select(F.col(host).alias("host"), line.alias("line"))
-        .select("host", _identity(F.col("line")).alias("line"))
+        (rows.distinct() if distinct else rows)
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("having"))
         .where(F.col("having") >= min_pages)
     )
-    total = totals.select(F.col("host").alias("total_host"), "pages")
     return (
-        having.join(total, F.col("host").eqNullSafe(F.col("total_host")))
+        having.join(totals, F.col("host").eqNullSafe(F.col("total_host")))
         .where(F.col("having") > F.lit(ratio) * F.col("pages"))
         .groupBy("host")
         .agg(F.collect_set("line").alias("lines"))
     )
 
 
+def _whole(text: str) -> Column:
+    return F.coalesce(F.col(text), F.lit(""))
+
+
 def drop_lines(
     pages: DataFrame,
     lines: DataFrame,

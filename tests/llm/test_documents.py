@@ -473,6 +473,26 @@ def test_classifiers_without_labels(spark, awkward, nothing):
     assert nothing.select(toxicity.severity_of(model).alias("s")).count() == 0
 
 
+def test_pipeline_keeps_one_of_many_copies(spark):
+    """A third of a source are copies: one full text survives the line stage and the near-duplicate stage."""
+    import corpus_pipeline
+
+    full = "\n".join(" ".join(f"c{k}w{i}" for i in range(12)) for k in range(6))
+    rows = [(i, full, "big") for i in range(20)]
+    rows += [(100 + i, f"menu home\n{' '.join(f'p{i}x{k}' for k in range(30))}", "big") for i in range(40)]
+    rows += [(200 + i, full, "less") for i in range(5)]
+    rows += [(300 + i, " ".join(f"q{i}x{k}" for k in range(30)), "less") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    cleaned = corpus_pipeline.drop_boilerplate(spark, docs, "").cache()
+    texts = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert all(texts[i] == full for i in range(20)) and all(texts[200 + i] == full for i in range(5))
+    assert not any("menu" in texts[100 + i] for i in range(40))
+    kept = corpus_pipeline.one_of_each_group(spark, cleaned, "").collect()
+    assert [r["doc_id"] for r in kept if r["text"] == full] == [0]
+    assert len(kept) == 51
+
+
 def test_pipeline_stages(spark, small):
     import corpus_pipeline
 
