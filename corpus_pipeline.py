@@ -37,10 +37,11 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that too many pages of their source share.
 
-    Copies of a text count as one page here, since the next stage leaves one of them.
+    Copies of a text count as one page here, and near copies do not make a line a template, since the
+    next stage leaves one of them.
     """
     cleaned, dropped = fresh("cleaned", docs), fresh("n_dropped", docs)
-    lines = materialize(line_dedup.boilerplate(docs, distinct=True), "boilerplate")
+    lines = materialize(line_dedup.template_lines(docs), "boilerplate")
     found = line_dedup.drop_lines(docs, lines, cleaned=cleaned, dropped=dropped)
     new = {"text": F.col(cleaned), "n_chars": F.length(cleaned).cast("long")}
     return found.select(

@@ -2,7 +2,8 @@
 
 A line is boilerplate on a host when more than ``ratio`` of the host's pages contain it (and at least
 ``min_pages`` of them, since on a host of one page every line is on all pages).  Only such lines,
-never whole pages, are dropped.
+never whole pages, are dropped.  `template_lines` finds them at a low share without taking near copies of a
+text for a template.
 """
 
 from __future__ import annotations
@@ -11,9 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplycast.llm.frames import fresh
+from supplycast.sources.scratch import materialize
 
 RATIO = 0.1
 MIN_PAGES = 5
+#: share of a site's distinct pages from which on `template_lines` takes a line as a template
+SHARE = 0.01
+#: pages with a larger share of frequent lines (in bytes) count as copies of each other
+COPIED = 0.5
 
 
 def _lines(text: str) -> Column:
@@ -44,6 +50,41 @@ def boilerplate(
     return _frequent(pages, _totals(pages, host, text, distinct), host, text, ratio, min_pages, distinct)
 
 
+def template_lines(
+    pages: DataFrame,
+    *,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = SHARE,
+    min_pages: int = MIN_PAGES,
+    copied: float = COPIED,
+) -> DataFrame:
+    """``(host, lines)`` as in `boilerplate`, with a low share that near copies of a text do not reach.
+
+    Distinct texts count as pages.  The lines of a group of near copies are as frequent as those of a
+    template, but a template stands on pages that otherwise differ.  So the frequent lines are counted
+    again, without the pages that consist of frequent lines for more than ``copied`` of their bytes,
+    against the same total.  Lines of a group of copies are thus kept, and a template that
+    makes up more than that share of each of its pages is kept, too.
+    """
+    totals = materialize(_totals(pages, host, text, True), "site-pages")
+    first = materialize(_frequent(pages, totals, host, text, ratio, min_pages, True), "frequent-lines")
+    key, often = fresh("host_of_lines", pages), fresh("frequent_lines", pages)
+    found = first.select(F.col("host").alias(key), F.col("lines").alias(often))
+    known = F.filter(_lines(text), lambda x: F.array_contains(F.col(often), _identity(x)))
+    own = (
+        pages.select(host, text)
+        .join(found, F.col(host).eqNullSafe(F.col(key)))
+        .where(_bytes(known) <= F.lit(copied) * _bytes(_lines(text)))
+        .select(host, text)
+    )
+    return _frequent(own, totals, host, text, ratio, min_pages, True)
+
+
+def _bytes(lines: Column) -> Column:
+    return F.aggregate(lines, F.lit(0), lambda n, x: n + F.octet_length(x))
+
+
 def _totals(pages: DataFrame, host: str, text: str, distinct: bool) -> DataFrame:
     """Pages of each host."""
     named = pages.select(F.col(host).alias("total_host"), _identity(_whole(text)).alias("page"))

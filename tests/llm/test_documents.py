@@ -493,6 +493,47 @@ def test_pipeline_keeps_one_of_many_copies(spark):
     assert len(kept) == 51
 
 
+def test_template_lines_on_all_sites(spark):
+    """Lines on 100 pages or more of the whole table go on each site where they have over 1 % of the pages."""
+    import corpus_pipeline
+
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    before = {r["doc_id"]: (r["source"], r["text"] or "") for r in docs.collect()}
+    after = {r["doc_id"]: r["text"] or "" for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    pages, having = defaultdict(set), defaultdict(set)
+    lines = {d: {x for x in t.split("\n") if x.strip()} for d, (_, t) in before.items()}
+    often = {x for x, n in Counter(x for found in lines.values() for x in found).items() if n >= 100}
+    for d, (source, t) in before.items():
+        pages[source].add(t)
+        for x in lines[d] & often:
+            having[source, x].add(t)
+    on = [(d, x) for d in before for x in lines[d] & often]
+    left = [(d, x) for d, x in on if x in after[d].split("\n")]
+    assert len(often) == 16 and len(on) - len(left) >= 0.95 * len(on)
+    for d, x in left:
+        source = before[d][0]
+        assert len(having[source, x]) <= 0.015 * len(pages[source])
+    assert not any(t.strip() and not after[d].strip() for d, (_, t) in before.items())
+
+
+def test_template_lines_spare_near_copies(spark):
+    """A template on 2 % of a site goes, the lines of near copies with 6 % of it stay."""
+    import corpus_pipeline
+
+    lines = [" ".join(f"c{k}w{i}" for i in range(20)) for k in range(10)]
+    rows = []
+    for i in range(30):
+        near = list(lines)
+        near[i % 10] += f" edit{i}"
+        rows.append((i, "\n".join(near), "s"))
+    own = lambda i: " ".join(f"p{i}x{k}" for k in range(40))
+    rows += [(100 + i, f"site menu\n{own(i)}" if i < 10 else own(i), "s") for i in range(470)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    assert got == {i: t.replace("site menu\n", "") for i, t, _ in rows}
+
+
 def test_pipeline_stages(spark, small):
     import corpus_pipeline
 
