@@ -2,8 +2,8 @@
 
 A seed is a fixed mask over consecutive words: positions marked 0 are ignored, so a substituted word
 there does not hide the passage.  The seed hashes of the test items are looked up for every word
-position of every training text; around each hit the two texts are laid side by side and the longest
-stretch with a large enough share of equal words decides.
+position of every training text; around each hit the two texts are laid side by side, and all maximal
+stretches with a large enough share of equal words are overlaps.
 """
 
 from __future__ import annotations
@@ -113,68 +113,88 @@ def _hits(index: Index, seen: np.ndarray, words: np.ndarray, bounds: np.ndarray)
     return np.unique(rows, axis=0)
 
 
-def longest_overlap(equal: np.ndarray, share: tuple[int, int] = EQUAL) -> tuple[int, int]:
-    """Longest stretch ``[start, end)`` that begins and ends with an equal word and holds the share.
+def maximal_overlaps(
+    equal: np.ndarray, share: tuple[int, int] = EQUAL
+) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends ``[start, end)``, both ascending, of all maximal stretches that hold the share.
 
-    Of equally long ones the first.  With ``top`` of ``bottom`` words equal, a stretch holds the share
-    when the sum of ``bottom * equal - top`` over it is not negative.
+    A stretch begins and ends with an equal word and lies in no other one.  With ``top`` of ``bottom``
+    words equal, it holds the share when the sum of ``bottom * equal - top`` over it is not negative.
     """
     top, bottom = share
     sums = np.concatenate([[0], np.cumsum(bottom * equal.astype(np.int64) - top)])
     starts = np.flatnonzero(equal)
     if not len(starts):
-        return 0, 0
+        return starts, starts
+    # only places after an equal word are ends
+    at_end = np.where(np.concatenate([[False], equal]), sums, np.iinfo(np.int64).min + 1)
     # the latest end whose sum reaches that of the start
-    best_after = np.maximum.accumulate(sums[::-1])[::-1]
-    best = (0, 0)
-    for start in starts:
-        reach = np.searchsorted(-best_after, -sums[start], side="right") - 1
-        if reach - start > best[1] - best[0]:
-            best = (int(start), int(reach))
-    start, end = best
-    while end > start and not equal[end - 1]:
-        end -= 1
-    return start, end
+    best_after = np.maximum.accumulate(at_end[::-1])[::-1]
+    ends = np.searchsorted(-best_after, -sums[starts], side="right") - 1
+    new = ends > np.concatenate([[0], np.maximum.accumulate(ends)[:-1]])
+    return starts[new], ends[new]
+
+
+def longest_overlap(equal: np.ndarray, share: tuple[int, int] = EQUAL) -> tuple[int, int]:
+    """Longest of the maximal overlaps, of equally long ones the first."""
+    starts, ends = maximal_overlaps(equal, share)
+    if not len(starts):
+        return 0, 0
+    k = int(np.argmax(ends - starts))
+    return int(starts[k]), int(ends[k])
 
 
 def _verify(index: Index, words, bounds, doc: int, item: int, shift: int, min_words, share):
+    """Long enough overlaps ``(item, doc_word, item_word, n_words, n_equal)`` of one alignment."""
     low, high = index.bounds[item], index.bounds[item + 1]
     start = max(low, bounds[doc] - shift)
     stop = min(high, bounds[doc + 1] - shift)
     equal = index.words[start:stop] == words[start + shift : stop + shift]
-    a, b = longest_overlap(equal, share)
-    if b - a < min(min_words, high - low):
-        return None
-    first = int(start + a)
-    return int(item), first + int(shift - bounds[doc]), first - int(low), b - a, int(equal[a:b].sum())
+    return [
+        (
+            int(item),
+            int(start + a + shift - bounds[doc]),
+            int(start + a - low),
+            int(b - a),
+            int(equal[a:b].sum()),
+        )
+        for a, b in zip(*maximal_overlaps(equal, share), strict=True)
+        if b - a >= min(min_words, high - low)
+    ]
+
+
+def _outermost(found: list[tuple]) -> list[tuple]:
+    """Overlaps of one item whose words of the text lie in no other one's, in the order of the text.
+
+    Of several with the same words that with the most equal ones stays, of these the first in the item.
+    """
+    out, end = [], -1
+    for one in sorted(found, key=lambda o: (o[1], -o[3], -o[4], o[2])):
+        if one[1] + one[3] > end:
+            out.append(one)
+            end = one[1] + one[3]
+    return out
 
 
 def overlaps(
     texts: pa.Array, index: Index, min_words: int = MIN_WORDS, share: tuple[int, int] = EQUAL
 ) -> list[list[tuple]]:
-    """For every text its overlaps ``(item, doc_word, item_word, n_words, n_equal)``, the longest one of
-    each item."""
+    """For every text its maximal overlaps ``(item, doc_word, item_word, n_words, n_equal)`` with each item."""
     seen = np.zeros(1 << _FILTER_BITS, dtype=bool)
     seen[(index.keys & _U((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
     out: list[list[tuple]] = [[] for _ in range(len(texts))]
     for first, data, at in tx.slices(texts):
         words, bounds = _hash_words(data, at)
-        best: dict[tuple[int, int], tuple] = {}
+        found: dict[tuple[int, int], list[tuple]] = {}
         for doc, item, shift in _hits(index, seen, words, bounds):
-            found = _verify(index, words, bounds, doc, item, shift, min_words, share)
-            if found and (
-                (doc, item) not in best or (found[3], -found[1]) > _rank(best[doc, item])
-            ):
-                best[doc, item] = found
-        for doc, item in sorted(best):
-            out[first + doc].append(best[doc, item])
+            here = _verify(index, words, bounds, doc, item, shift, min_words, share)
+            if here:
+                found.setdefault((doc, item), []).extend(here)
+        for doc, item in sorted(found):
+            out[first + doc].extend(_outermost(found[doc, item]))
     return out
 
 
-def _rank(found: tuple) -> tuple:
-    return found[3], -found[1]
-
-
 def overlaps_of(
     index: Index,
     item_type: T.DataType,

@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -377,6 +378,42 @@ def test_decontamination(spark, awkward, nothing):
     assert decontaminate.find_overlaps(nothing, items, "o").count() == 0
 
 
+def brute_stretches(equal):
+    """Stretches with four fifths equal words and an equal word at both ends, those in others left out."""
+    places = range(len(equal))
+    found = [
+        (a, b + 1)
+        for a in places
+        for b in places[a:]
+        if equal[a] and equal[b] and 5 * sum(equal[a : b + 1]) >= 4 * (b + 1 - a)
+    ]
+    return [(a, b) for a, b in found if not any((c, d) != (a, b) and c <= a and b <= d for c, d in found)]
+
+
+def test_maximal_overlaps_brute_force():
+    rng = np.random.default_rng(7)
+    rows = [rng.random(int(n)) < p for n in rng.integers(0, 40, 150) for p in (0.3, 0.7, 0.9)]
+    rows.append(np.array([1] * 12 + [0] * 7 + [1] * 13, dtype=bool))
+    for equal in rows:
+        want = brute_stretches(equal.tolist())
+        assert list(zip(*decontaminate.maximal_overlaps(equal), strict=True)) == want
+        longest = max(want, key=lambda s: (s[1] - s[0], -s[0]), default=(0, 0))
+        assert decontaminate.longest_overlap(equal) == longest
+
+
+def test_decontamination_finds_run_after_mismatches(spark):
+    """A qualifying run behind a shorter one, and an item that stands twice in a text."""
+    item = [f"q{i}" for i in range(32)]
+    hidden = item[:12] + ["no"] * 7 + item[19:]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, " ".join(hidden)), (2, " ".join([*item, "x", "y", *item]))], "doc_id long, text string"
+    )
+    found = decontaminate.find_overlaps(docs, items, "o").select("doc_id", F.explode("o").alias("o"))
+    got = sorted((r["doc_id"], r["o"]["doc_word"], r["o"]["item_word"], r["o"]["n_words"]) for r in found.collect())
+    assert got == [(1, 19, 19, 13), (2, 0, 0, 32), (2, 34, 0, 32)]
+
+
 def test_decontamination_finds_whole_items(spark, small):
     """Every item that stands in a text as a whole, found by plain search of the words."""
     split = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
