@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplycast.llm import (
@@ -11,6 +11,7 @@ from supplycast.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -20,6 +21,8 @@ from supplycast.llm import (
 from supplycast.llm.frames import table
 from supplycast.sources.scratch import materialize, scratch_path
 
+WORD = r"[^\x20\x09-\x0D]+"
+
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
@@ -115,6 +118,46 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", licenses.licenses_of().alias("l")).select("doc_id", "l.*")
 
 
+def looped(doc: str = "doc_id", text: str = "text") -> Column:
+    """The text, but for each tenth document (by checksum) from some word on a repeated block of words.
+
+    Rows without id stay as they are.
+    """
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    checksum = F.crc32(F.col(doc).cast("string"))
+    g, n = F.floor(checksum / 10), F.when(F.size(words) > 0, F.size(words))
+    a = g % n
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    block = F.slice(words, (a + 1).cast("int"), p)
+    copies = F.flatten(F.array_repeat(block, F.ceil((n - a) / p).cast("int")))
+    made = F.concat(
+        F.slice(words, F.lit(1), a.cast("int")), F.slice(copies, F.lit(1), (n - a).cast("int"))
+    )
+    chosen = (checksum % 10 == 0) & n.isNotNull()
+    return F.when(chosen, F.array_join(made, " ")).otherwise(F.col(text))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", looped().alias("text"))
+    found = docs.select("doc_id", periodic_runs.periodic_runs().alias("r")).select("doc_id", "r.*")
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run")))
+    )["run"]
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -128,5 +171,6 @@ QUERIES = {
         op8_decontaminate,
         op9_mixing,
         op10_licenses,
+        op11_periodic_runs,
     )
 }
