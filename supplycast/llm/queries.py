@@ -10,6 +10,7 @@ from supplycast.llm import (
     licenses,
     line_dedup,
     mixing,
+    nearest_neighbours,
     ngram_join,
     periodic_runs,
     quality_classifier,
@@ -158,6 +159,11 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return nearest_neighbours.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -172,5 +178,6 @@ QUERIES = {
         op9_mixing,
         op10_licenses,
         op11_periodic_runs,
+        op12_nearest_neighbours,
     )
 }
