@@ -83,4 +83,34 @@ FROM (
 ) n
 """
 
-ORACLES = {"op6_line_dedup": _LINE_DEDUP, "op9_mixing": _MIXING}
+_HARD_NEGATIVES = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+        CAST(list_inner_product(a.parts, b.parts) AS BIGINT) AS score
+    FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (
+        PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM scored JOIN positive USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+ORACLES = {
+    "op6_line_dedup": _LINE_DEDUP,
+    "op9_mixing": _MIXING,
+    "op13_hard_negatives": _HARD_NEGATIVES,
+}

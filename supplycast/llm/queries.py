@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from supplycast.llm import (
     decontaminate,
+    hard_negatives,
     licenses,
     line_dedup,
     mixing,
@@ -164,6 +165,12 @@ def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -179,5 +186,6 @@ QUERIES = {
         op10_licenses,
         op11_periodic_runs,
         op12_nearest_neighbours,
+        op13_hard_negatives,
     )
 }

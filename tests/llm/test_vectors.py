@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
+import compare
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from supplycast.llm import hard_negatives as hn
 from supplycast.llm import nearest_neighbours as nn
 from supplycast.llm import posting_lists
 from supplycast.llm.frames import table
+from supplycast.llm.oracles import ORACLES
 from supplycast.llm.queries import QUERIES
+from supplycast.llm.residue_products import Residues, n_primes, products
 from supplycast.llm.vectors import ranked_dots
 
 VECTORS = "vec_id long, embedding array<float>, label int, rank int, score string"
@@ -136,3 +142,86 @@ def test_recall_of_the_query(spark):
     assert sorted(found) == sorted(queries)
     hits = sum(len({x for _, x in found[q]} & {x for _, x in neighbours(vectors, q, 20)}) for q in queries)
     assert hits / 20 / len(queries) >= 0.9
+
+
+@pytest.mark.parametrize(
+    ("high", "width"), [(1, 0), (5, 700), (40, 3), (256, 64), (2**20, 64), (2**27, 70), (2**30, 3)]
+)
+def test_residue_products_are_exact(high, width):
+    rng = np.random.default_rng(width)
+    left, right = (rng.integers(-high, high + 1, (n, width)) for n in (17, 23))
+    bound = max(1, *(sum(int(x) ** 2 for x in r) for r in [*left, *right]))
+    primes = n_primes(bound)
+    got = products(Residues.of(left, primes), Residues.of(right, primes))
+    assert got.tolist() == [[sum(int(x) * int(y) for x, y in zip(a, b)) for b in right] for a in left]
+
+
+def test_residue_products_at_the_bound():
+    for value in (2**30, -(2**30), 508, 254, 255, -254, -255):
+        bound = 2**60 if abs(value) > 1000 else value * value
+        one = np.array([[value]])
+        side = Residues.of(one, n_primes(bound))
+        assert products(side, side).tolist() == [[value * value]]
+        assert products(side, Residues.of(-one, len(side.parts))).tolist() == [[-value * value]]
+    with pytest.raises(ValueError):
+        n_primes(2**63)
+
+
+def brute_negatives(rows, anchor):
+    """``rows`` are ``(id, vector, label)`` with distinct ids."""
+    scale = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v, _ in rows}
+    label, found = {i: k for i, _, k in rows}, []
+    for a in filter(anchor, scale):
+        score = {
+            i: sum(x * y for x, y in zip(scale[a], v, strict=False)) for i, v in scale.items() if i != a
+        }
+        ranked = sorted(score, key=lambda i: (-score[i], i))
+        for p in [i for i in ranked if label[i] == label[a]][:5]:
+            near = [
+                i
+                for i in ranked
+                if label[i] != label[a] and 80 * score[p] <= 100 * score[i] <= 100 * score[p]
+            ]
+            found += [(a, p, k, i, score[p], score[i]) for k, i in enumerate(near[:5], 1)]
+    return sorted(found)
+
+
+def test_hard_negatives_of_awkward_rows(spark, monkeypatch):
+    """Ties, negative scores, short vectors, several blocks of rows and anchors, clashing columns."""
+    monkeypatch.setattr(hn, "BLOCK_BYTES", 4 * 3 * 20)
+    monkeypatch.setattr(hn, "ANCHOR_BYTES", 4 * 3 * 7)
+    rng = np.random.default_rng(8)
+    rows = [
+        (int(i), [float(x) for x in rng.integers(-2, 3, rng.integers(0, 4)) / 4], int(rng.integers(3)))
+        for i in rng.permutation(300)
+    ]
+    made = [(i, v, k, 1, "x") for i, v, k in rows]
+    made += [(1000, [1.0, 0.5], None, 1, "x"), *[(i, v, 1, 1, "x") for i, v, *_ in BROKEN[:5]]]
+    df = spark.createDataFrame(made, VECTORS).repartition(5)
+    got = hn.hard_negatives(df, F.col("vec_id") % 10 == 0).collect()
+    want = brute_negatives(rows, lambda i: i % 10 == 0)
+    assert sorted(tuple(r) for r in got) == want and len(want) > 100
+
+
+def test_hard_negatives_of_repeated_rows_and_large_numbers(spark):
+    rows = [(0, [3e6, 1.0], 1), (1, [2e6, 0.0], 1), (2, [1.9e6, 7.0], 2), (3, [-1e6, 0.0], 2)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in [*rows, rows[0], rows[2]]], VECTORS)
+    got = [tuple(r) for r in hn.hard_negatives(df, F.col("vec_id") == 0).collect()]
+    once = brute_negatives(rows, lambda i: i == 0)
+    assert sorted(got) == [once[0], (*once[0][:2], 2, *once[0][3:])]
+    with pytest.raises(ValueError, match="62 bits"):
+        hn.hard_negatives(spark.createDataFrame([(0, [1e30], 1, 1, "x")], VECTORS), F.lit(True))
+
+
+def test_hard_negatives_of_empty_tables(spark):
+    for rows in ([], BROKEN[:5]):
+        df = spark.createDataFrame(rows, VECTORS)
+        found = hn.hard_negatives(df, F.col("vec_id") % 10 == 0)
+        assert found.collect() == [] and found.columns[0] == "anchor_id"
+    only = spark.createDataFrame([(7, [1.0], 1, 1, "x")], VECTORS)
+    assert hn.hard_negatives(only, F.col("vec_id") % 10 == 0).collect() == []
+
+
+def test_hard_negatives_equal_their_sql(spark, small):
+    found = QUERIES["op13_hard_negatives"](spark, small)
+    assert compare.differences(found, compare.connect(small), ORACLES["op13_hard_negatives"]) == []
