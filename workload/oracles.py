@@ -8,7 +8,7 @@ from supplycast.functions.geo import EARTH_RADIUS_KM
 from supplycast.functions.stats import normal_quantile
 from supplycast.operators.cluster import FEATURES
 from supplycast.operators.kpi import KPI_COLUMNS
-from workload.queries import CENTRES, DAYS_VALID, MONTHS_VALID
+from workload.queries import CENTRES, DAYS_VALID, MONTHS_VALID, SHORT_VALID
 
 ORACLES: dict[str, str] = {}
 
@@ -971,10 +971,10 @@ query(
 )
 
 
-def portmanteau(most: int, lag: int, fit_df: int) -> list[str]:
+def portmanteau(most: int, lag: int, fit_df: int, residuals: str = RESIDUALS) -> list[str]:
     """Statistic over ``lag`` lags at most; with even degrees its tail is a finite Poisson sum."""
     return [
-        RESIDUALS,
+        residuals,
         lags(most),
         f"""lb AS (
   SELECT cluster, n, max(lag) AS lag, n * (n + 2) * sum(acf * acf / (n - lag)) AS q
@@ -1156,6 +1156,154 @@ query(
     WHEN avg(mean) < any_value(last_actual) THEN 'down' ELSE 'flat' END AS verdict
 FROM path GROUP BY 1""",
 )
+def damped_search(key: str, points: int = 9, rounds: int = 4) -> list[str]:
+    """``fit(key, n, alpha, beta, l0, b0)`` and the run ``path(key, t, y, f, level, trend, sse)``.
+
+    ``obs(key, t, y)`` holds the series.  Each round tries a grid of weights around the best ones so far;
+    a start solves the normal equations of the errors, which are linear in it.
+    """
+    ctes, half = [
+        f"len AS (SELECT {key}, CAST(count(*) AS DOUBLE) AS n FROM obs GROUP BY 1)",
+        f"""top0 AS (SELECT {key}, 0.5::DOUBLE AS alpha, 0.5::DOUBLE AS share, NULL::DOUBLE AS sse,
+    0.0::DOUBLE AS l0, 0.0::DOUBLE AS b0 FROM len)""",
+    ], 0.4999
+    sums = [(i, j) for i in range(3) for j in range(i, 3)]
+    for r in range(1, rounds + 1):
+        near = (
+            f"least(greatest({{}} + {half!r}::DOUBLE * ({{}} * {2 / (points - 1)!r}::DOUBLE - 1), "
+            "1e-4), 0.9999::DOUBLE)"
+        )
+        ctes += [
+            f"""try{r} AS (
+  SELECT {key}, k, {near.format("alpha", f"(k // {points})")} AS alpha,
+    {near.format("share", f"(k % {points})")} AS share FROM top{r - 1}, range({points**2}) g(k))""",
+            f"""run{r} AS (
+  SELECT {key}, k, alpha, share, 0::BIGINT AS t, 0e0 AS l0, 0e0 AS b0, 1e0 AS l1, 0e0 AS b1,
+    0e0 AS l2, 1e0 AS b2, {", ".join(f"0e0 AS s{i}{j}" for i, j in sums)} FROM try{r}
+  UNION ALL
+  SELECT {key}, k, alpha, share, t + 1, f0 + alpha * e, 9e-1 * b0 + alpha * share * e,
+    f1 - alpha * f1, 9e-1 * b1 - alpha * share * f1, f2 - alpha * f2, 9e-1 * b2 - alpha * share * f2,
+    {", ".join(f"s{i}{j} + {'e' if not i else f'f{i}'} * {'e' if not j else f'f{j}'}" for i, j in sums)}
+  FROM (
+    SELECT h.*, l0 + 9e-1 * b0 AS f0, y - (l0 + 9e-1 * b0) AS e, l1 + 9e-1 * b1 AS f1,
+      l2 + 9e-1 * b2 AS f2
+    FROM run{r} h JOIN obs o ON o.{key} = h.{key} AND o.t = h.t + 1))""",
+            f"""solved{r} AS (
+  SELECT *, greatest(s00 - 2 * (l * s01 + b * s02) + l * l * s11 + 2 * l * b * s12 + b * b * s22, 0)
+    AS sse
+  FROM (
+    SELECT h.*, n, CASE WHEN ok THEN (s01 * s22 - s02 * s12) / det ELSE y END AS l,
+      CASE WHEN ok THEN (s02 * s11 - s01 * s12) / det ELSE 0 END AS b
+    FROM (
+      SELECT *, s11 * s22 - s12 * s12 AS det,
+        s11 * s22 - s12 * s12 > 1e-12 * greatest(s11 * s22, 1e-300) AS ok FROM run{r}) h
+    JOIN len ON len.{key} = h.{key} AND h.t = n
+    JOIN obs ON obs.{key} = h.{key} AND obs.t = 1))""",
+            f"""top{r} AS (
+  SELECT {key}, alpha, share, sse, l0, b0 FROM (
+    SELECT {key}, alpha, share, sse, l0, b0, -1 AS k FROM top{r - 1} WHERE sse IS NOT NULL
+    UNION ALL SELECT {key}, alpha, share, sse, l, b, k FROM solved{r})
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY sse, k) = 1)""",
+        ]
+        half *= 2.2 / (points - 1)
+    return [
+        *ctes,
+        f"""fit AS (SELECT {key}, n, alpha, alpha * share AS beta, l0, b0
+  FROM top{rounds} JOIN len USING ({key}))""",
+        f"""path AS (
+  SELECT {key}, n, alpha, beta, 0::BIGINT AS t, NULL::DOUBLE AS y, NULL::DOUBLE AS f, l0 AS level,
+    b0 AS trend, 0e0 AS sse FROM fit
+  UNION ALL
+  SELECT {key}, n, alpha, beta, t + 1, y, f, f + alpha * (y - f), 9e-1 * trend + beta * (y - f),
+    sse + (y - f) * (y - f)
+  FROM (SELECT h.* EXCLUDE (y, f), o.y, level + 9e-1 * trend AS f
+    FROM path h JOIN obs o ON o.{key} = h.{key} AND o.t = h.t + 1))""",
+        f"""done AS (
+  SELECT *, sse / greatest(n - 4, 1) AS sigma2, n * ln(greatest(sse, 1e-300) / n) AS lik
+  FROM path WHERE t = n)""",
+    ]
+
+
+def damped_path(key: str, horizon: int) -> list[str]:
+    """``ahead(key, h, t, mean, sd)`` of the fitted trend."""
+    return [
+        f"""ahead AS (
+  SELECT {key}, n, h, n + h AS t, level + trend * 9 * (1 - pow(9e-1, h)) AS mean,
+    sqrt(sigma2 * (1 + list_sum(list_transform(range(0, h),
+      lambda j: CASE WHEN j = 0 THEN 0 ELSE pow(alpha + beta * 9 * (1 - pow(9e-1, j)), 2) END))))
+      AS sd
+  FROM done, range(1, {horizon + 1}) g(h))""",
+    ]
+
+
+def held_out(source: str, n: int) -> str:
+    return f"""parts AS (SELECT *, CASE WHEN t > max(t) OVER (PARTITION BY cluster) - {n} THEN 'valid'
+  ELSE 'train' END AS split FROM {source})"""
+
+
+_TRAIN = "obs AS MATERIALIZED (SELECT cluster, t, value AS y FROM parts WHERE split = 'train')"
+FITTED = [*MONTH, SPLIT, _TRAIN, *damped_search("cluster")]
+SELLER_FITTED = [*SELLER_HOLT[:6], *damped_search("seller_id")]
+
+
+def summary(key: str, last: str) -> str:
+    rounded = ", ".join(f"{q4(c)} AS {c}" for c in ("level", "trend", "sse", "sigma2"))
+    return f"""SELECT {key}, 'holt_damped' AS model, CAST(n AS INTEGER) AS n, {q4("alpha")} AS alpha,
+  {q4("beta")} AS beta, 9e-1 AS phi, {rounded}, {q4("lik + 10")} AS aic,
+  {q4("lik + 10 + 60 / (n - 6)")} AS aicc, {q4("lik + 5 * ln(n)")} AS bic,
+  {iso("ds")} AS last_ds, CAST(n AS INTEGER) AS last_t FROM done JOIN {last} USING ({key}, t)"""
+
+
+query("model_summary", FITTED, summary("cluster", "parts"))
+query("holt_fit", SELLER_FITTED, summary("seller_id", "lin"))
+
+
+def fitted_bounds(kind: str = "") -> str:
+    limits = ", ".join(
+        f"{q4(f'mean {sign} {normal_quantile(level)!r}::DOUBLE * sd')} AS {side}_{round(level * 100)}"
+        for level in (0.8, 0.95)
+        for sign, side in (("-", "lo"), ("+", "hi"))
+    )
+    return f"""SELECT cluster, 'holt_damped' AS model, CAST(h AS INTEGER) AS h, CAST(t AS INTEGER) AS t,
+  {q4("mean")} AS mean, {limits} FROM ahead"""
+
+
+query("holt_forecast", [*FITTED, *damped_path("cluster", MONTHS_VALID)], fitted_bounds())
+SHORT_FIT = [*MONTH, held_out("monthly", SHORT_VALID), _TRAIN, *damped_search("cluster")]
+query("holt_forecast_short", [*SHORT_FIT, *damped_path("cluster", SHORT_VALID)], fitted_bounds())
+DAYS_FIT = [*FILLED_DAILY, held_out("monthly", DAYS_VALID), _TRAIN, *damped_search("cluster")]
+query("holt_daily_fit", [*DAYS_FIT, *damped_path("cluster", DAYS_VALID)], fitted_bounds())
+query(
+    "overlay",
+    [*FITTED, *damped_path("cluster", MONTHS_VALID)],
+    f"""SELECT cluster, CAST(t AS INTEGER) AS t, split AS kind, value, NULL::DOUBLE AS lo, NULL::DOUBLE AS hi
+FROM parts UNION ALL
+SELECT cluster, CAST(t AS INTEGER), 'fitted', {q4("f")}, NULL, NULL FROM path WHERE t > 0 UNION ALL
+SELECT cluster, CAST(t AS INTEGER), 'forecast', {q4("mean")},
+  {q4(f"mean - {normal_quantile(0.95)!r}::DOUBLE * sd")}, {q4(f"mean + {normal_quantile(0.95)!r}::DOUBLE * sd")}
+FROM ahead""",
+)
+query(
+    "growth_verdict",
+    [
+        *MONTH,
+        "obs AS MATERIALIZED (SELECT cluster, t, value AS y FROM monthly)",
+        *damped_search("cluster"),
+        *damped_path("cluster", 4),
+    ],
+    f"""SELECT cluster, {q4("avg(mean)")} AS mean_forecast,
+  {q4("max(mean) FILTER (WHERE h = 4) - max(mean) FILTER (WHERE h = 1)")} AS path_change,
+  {q4("any_value(y)")} AS last_actual,
+  CASE WHEN avg(mean) > any_value(y) THEN 'up' WHEN avg(mean) < any_value(y) THEN 'down' ELSE 'flat' END
+    AS verdict
+FROM ahead JOIN obs USING (cluster) WHERE obs.t = n GROUP BY 1""",
+)
+_HOLT_RESIDUALS = "res AS (SELECT cluster, t, CAST(n AS BIGINT) AS n, y - f AS r FROM path WHERE t > 0)"
+query(
+    "ljung_box_holt",
+    [*FITTED, *portmanteau(24, 10, 4, _HOLT_RESIDUALS)],
+    _PORTMANTEAU,
+)
 query(
     "simple_smoothing",
     [

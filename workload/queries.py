@@ -39,7 +39,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CLUSTER = ["cluster"]
 MONTHS_VALID = 12
+SHORT_VALID = 3
 DAYS_VALID = 17
+BOUNDS = ("mean", "lo_80", "hi_80", "lo_95", "hi_95")
+FIT = ("alpha", "beta", "level", "trend", "sse", "sigma2", "aic", "aicc", "bic")
 
 
 def query(function: Query) -> Query:
@@ -786,7 +789,17 @@ def kpss(spark, folder):
 @query
 def model_summary(spark, folder):
     packed = spine.pack(training(spark, folder), CLUSTER)
-    return smoothing.holt_fit(packed, CLUSTER).drop("ys", "fitted")
+    return cut(smoothing.holt_fit(packed, CLUSTER).drop("ys", "fitted"), *FIT)
+
+
+@query
+def ljung_box_holt(spark, folder):
+    """Residuals of the fitted damped trend; weights and start take four degrees of freedom."""
+    fit = smoothing.holt_fit(spine.pack(training(spark, folder), CLUSTER), CLUSTER)
+    packed = spine.pack(
+        smoothing.fitted_rows(fit, CLUSTER), CLUSTER, value="residual", day="t"
+    )
+    return cut(diagnose.ljung_box(packed, CLUSTER, fit_df=4), "q", "p_value")
 
 
 # -- forecasting ----------------------------------------------------------------------------
@@ -837,13 +850,29 @@ def holt_fit(spark, folder):
     """Damped Holt per seller: fitted parameters of many series at once."""
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = spine.pack(seller_monthly(spark, folder), ["seller_id"], tasks=tasks)
-    return smoothing.holt_fit(packed, ["seller_id"]).drop("ys", "fitted")
+    return cut(smoothing.holt_fit(packed, ["seller_id"]).drop("ys", "fitted"), *FIT)
 
 
 @query
 def holt_forecast(spark, folder):
     fit = smoothing.holt_fit(spine.pack(training(spark, folder), CLUSTER), CLUSTER)
-    return smoothing.holt_forecast(fit, CLUSTER, MONTHS_VALID)
+    return cut(smoothing.holt_forecast(fit, CLUSTER, MONTHS_VALID), *BOUNDS)
+
+
+@query
+def holt_forecast_short(spark, folder):
+    """Three months ahead from all but the last three."""
+    split = spine.split_last(monthly(spark, folder), CLUSTER, SHORT_VALID)
+    fit = smoothing.holt_fit(spine.pack(split.where("split = 'train'"), CLUSTER), CLUSTER)
+    return cut(smoothing.holt_forecast(fit, CLUSTER, SHORT_VALID), *BOUNDS)
+
+
+@query
+def holt_daily_fit(spark, folder):
+    """Seventeen days ahead from all but the last seventeen, fitted weights."""
+    split = spine.split_last(filled_daily(spark, folder), CLUSTER, DAYS_VALID)
+    fit = smoothing.holt_fit(spine.pack(split.where("split = 'train'"), CLUSTER), CLUSTER)
+    return cut(smoothing.holt_forecast(fit, CLUSTER, DAYS_VALID), *BOUNDS)
 
 
 @query
@@ -989,8 +1018,8 @@ def overlay(spark, folder):
     return evaluate.overlay(
         CLUSTER,
         series,
-        smoothing.fitted_rows(fit, CLUSTER),
-        smoothing.holt_forecast(fit, CLUSTER, MONTHS_VALID),
+        cut(smoothing.fitted_rows(fit, CLUSTER), "fitted"),
+        cut(smoothing.holt_forecast(fit, CLUSTER, MONTHS_VALID), *BOUNDS),
     )
 
 
@@ -999,7 +1028,8 @@ def growth_verdict(spark, folder):
     """Final four-month forecast on the full series and its direction."""
     packed = packed_monthly(spark, folder)
     fit = smoothing.holt_fit(packed, CLUSTER)
-    return evaluate.growth_verdict(smoothing.holt_forecast(fit, CLUSTER, 4), packed, CLUSTER)
+    out = evaluate.growth_verdict(smoothing.holt_forecast(fit, CLUSTER, 4), packed, CLUSTER)
+    return cut(out, "mean_forecast", "path_change", "last_actual")
 
 
 # -- clustering -----------------------------------------------------------------------------
