@@ -6,7 +6,7 @@ of the input, whatever they are called, reach the end; the mix adds ``copy``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supplycast.llm import decontaminate, line_dedup, mixing, ngram_join, quality_rules
@@ -52,20 +52,22 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates.
 
-    Of rows that repeat an id one stays (the smallest text); rows without id stay as they are.
+    Groups are formed of texts, so unrelated texts under one id all stay.  Of rows that repeat id and text
+    one stays, rows without id stay as they are.
     """
-    groups = materialize(ngram_join.similar_documents(docs), "near-duplicates")
-    here, nth = fresh("kept_id", docs), fresh("nth_row", docs)
+    key, here = fresh("row_key", docs), fresh("kept_key", docs)
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    groups = materialize(ngram_join.similar_documents(keyed, doc_id=key), "near-duplicates")
     stays = (
-        groups.where(F.col("doc_id") == F.col("component_id"))
-        .select(F.col("doc_id").alias(here))
-        .distinct()
+        groups.distinct()
+        .join(keyed.select(F.col(key).alias("doc_id"), F.col("doc_id").alias("id")).distinct(), "doc_id")
+        .groupBy("component_id")
+        .agg(F.min(F.struct("id", F.col("doc_id").alias("key"))).alias("first"))
+        .select(F.col("first.key").alias(here))
     )
-    kept = docs.join(stays, F.col("doc_id") == F.col(here))
-    first = Window.partitionBy(here).orderBy("text")
+    kept = keyed.join(stays, F.col(key) == F.col(here)).dropDuplicates([key])
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    one = kept.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*columns)
-    return one.unionAll(docs.where(F.col("doc_id").isNull()))
+    return kept.select(*columns).unionAll(docs.where(F.col("doc_id").isNull()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
