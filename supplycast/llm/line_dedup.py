@@ -18,6 +18,8 @@ RATIO = 0.1
 MIN_PAGES = 5
 #: share of a site's distinct pages from which on `template_lines` takes a line as a template
 SHARE = 0.01
+#: characters of a blank line
+BLANKS = " \t\n\x0b\x0c\r"
 #: pages with a larger share of frequent lines (in bytes) count as copies of each other
 COPIED = 0.5
 
@@ -102,7 +104,9 @@ def _frequent(
     min_pages: int,
     distinct: bool,
 ) -> DataFrame:
-    line = F.explode(F.array_distinct(F.filter(_lines(text), lambda x: F.trim(x) != "")))
+    line = F.explode(
+        F.array_distinct(F.filter(_lines(text), lambda x: F.trim(x, F.lit(BLANKS)) != ""))
+    )
     rows = pages.select(
         F.col(host).alias("host"),
         *([_identity(_whole(text)).alias("page")] if distinct else []),
@@ -138,7 +142,7 @@ def drop_lines(
     """All columns and rows of ``pages`` plus the cleaned text and the number of dropped lines.
 
     Every occurrence of a boilerplate line goes; the other lines keep their order and line breaks.
-    Blank lines are never boilerplate.  Null texts stay null; pages without host form a site of their
+    Blank lines, those of files with carriage returns included, are never boilerplate.  Null texts stay null; pages without host form a site of their
     own; repeated rows count as pages and are all kept.
     """
     key, bad = fresh("host_of_lines", pages), fresh("boilerplate_lines", pages)

@@ -579,13 +579,48 @@ def test_pipeline_stages(spark, small):
         docs.where("doc_id < 2").withColumn("doc_id", F.lit(None).cast("long"))
     )
     for name, stage in corpus_pipeline.STAGES:
-        before = docs.columns
+        before, unnamed = docs.columns, docs.where("doc_id IS NULL").count()
         docs = stage(spark, docs, small).cache()
+        if name == "ngram_join":
+            assert docs.where("doc_id IS NULL").count() == unnamed
         if name != "mixing":
             assert docs.columns == before
         assert docs.count() > 0
     assert docs.columns == [*before, "copy_"]
-    assert docs.where("doc_id IS NULL").count() >= 0
     for _, stage in corpus_pipeline.STAGES:
         empty = table(spark, small, "documents").limit(0)
         assert stage(spark, empty, small).count() == 0
+
+
+def test_groups_keep_unrelated_texts_of_one_id(spark):
+    """Three texts under id 1, a near copy of the second under id 2, repeated rows, hot texts."""
+    import corpus_pipeline
+
+    texts = [" ".join(f"{c}{i}" for i in range(80)) for c in "abc"]
+    near = texts[1].replace("b40 ", "other ")
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (1, texts[2]), (2, near), (3, ""), (3, None)]
+    rows += [(100 + i, texts[2]) for i in range(40)] + [(None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()]
+    want = [(1, t) for t in texts] + [(3, ""), (3, None), (None, texts[0])]
+    assert sorted(kept, key=str) == sorted(want, key=str)
+
+
+def test_blank_lines_of_crlf_pages_stay(spark):
+    rows = [(i, "h", f"menu\r\n\r\nown {i}\r\n \t\r\nend") for i in range(40)]
+    rows.append((99, "h", " ".join(f"w{i}" for i in range(20_000)) + "\nmenu\r"))
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for lines in (line_dedup.boilerplate(docs, ratio=0.5), line_dedup.template_lines(docs, copied=0.9)):
+        out = line_dedup.drop_lines(docs, lines)
+        got = {r["doc_id"]: (r["cleaned"], r["n_dropped"]) for r in out.collect()}
+        assert got[7] == ("\r\nown 7\r\n \t\r", 2)
+        assert got[99][1] == 1 and got[99][0].endswith("w19999")
+    empty = docs.limit(0)
+    assert line_dedup.drop_lines(empty, line_dedup.template_lines(empty)).collect() == []
+
+
+def test_mixing_of_empty_texts(spark):
+    rows = [(i, "s" if i % 2 else None, None if i % 3 else "") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixing.copies(docs.select("doc_id", "source", mixing.n_words("text").alias("size"))).collect()
+    assert len(out) == 20 and all(r["size"] == 0 and r["target"] == 0 for r in out)
