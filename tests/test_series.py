@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import plain_smoother
 import pytest
 from conftest import series_frame
 from pyspark.sql import functions as F
 
-from supplycast.functions import search, smoothers
+from supplycast.functions import search
 from supplycast.operators import (
     boxcox,
     decompose,
@@ -70,9 +71,36 @@ def test_repair_handles_empty_and_short_series(spark):
     assert out.count() == 13
 
 
-def test_super_smoother_follows_a_line_exactly():
+def test_variable_span_follows_a_line_exactly(spark):
     y = np.array(LINE, float)
-    assert np.allclose(smoothers.super_smoother(y), y)
+    assert np.allclose(plain_smoother.super_smoother(y), y)
+    out = repair.variable_span(series_frame(spark, {"line": LINE}), ID, "value", 48)
+    assert values(out, "smooth", "line") == pytest.approx(LINE)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 20, 150])
+def test_variable_span_equals_the_plain_form(spark, n):
+    rng = np.random.default_rng(n)
+    series = {
+        "walk": rng.normal(size=n).cumsum(),
+        "wave": np.sin(np.arange(n) / 9) + rng.normal(0, 0.2, n),
+        "step": np.where(np.arange(n) > n / 2, 5.0, 1.0) + rng.normal(0, 0.1, n),
+    }
+    out = repair.variable_span(series_frame(spark, series), ID, "value", n)
+    for name, y in series.items():
+        assert values(out, "smooth", name) == pytest.approx(list(plain_smoother.super_smoother(y)), abs=1e-8)
+
+
+def test_smoothed_outliers_equal_the_plain_form(spark):
+    rng = np.random.default_rng(12)
+    series = {k: rng.normal(0, 1, 120) + 20 * np.sin(np.arange(120) / 15) for k in "abc"}
+    series["a"][[30, 31, 80]] += 40
+    series["b"][5] -= 60
+    out = repair.smooth_outliers(series_frame(spark, series), ID)
+    for name, y in series.items():
+        fixed, flagged = plain_smoother.replace_outliers(y)
+        assert values(out, "is_outlier", name) == list(flagged)
+        assert values(out, "fixed", name) == pytest.approx(list(fixed))
 
 
 def test_linear_and_polynomial_trend(spark):

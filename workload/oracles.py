@@ -766,6 +766,85 @@ query(
     f"""SELECT cluster, {iso("ds")} AS ds, CAST(t AS INTEGER) AS t, {q4("base")} AS filled,
   {q4("fixed")} AS fixed, is_outlier FROM two""",
 )
+def _line(source: str, name: str, lines: list[tuple[str, str, str, str | None]]) -> str:
+    """Regressions over the nearest points, ``(value, half, fit, error)`` each, added to ``source``."""
+    over = (
+        "PARTITION BY {k} ORDER BY t "
+        "ROWS BETWEEN (pos - {lo}) PRECEDING AND ({lo} + {w} - 1 - pos) FOLLOWING"
+    )
+    columns = []
+    for value, half, fit, error in lines:
+        width = f"least(2 * {half} + 1, n)"
+        low = f"least(greatest(pos - {half}, 0), n - {width})"
+        window = over.format(k=SERIES, lo=low, w=width)
+        mean = f"avg({value}) OVER ({window})"
+        covariance, variance = (f"{f} OVER ({window})" for f in (f"covar_pop({value}, pos)", "var_pop(pos)"))
+        dot = f"coalesce({covariance} / nullif({variance}, 0), 0)"
+        away = f"(pos - ({low} + ({width} - 1) / 2))"
+        columns.append(f"{mean} + {dot} * {away} AS {fit}")
+        if error:
+            own = f"1 / {width} + {away} * {away} / ({width} * greatest(({width} * {width} - 1) / 12, 1e-12))"
+            columns.append(f"abs({value} - {fit}) / (1 - least(greatest({own}, 0), 0.999)) AS {error}")
+    return f"{name} AS (SELECT *, {', '.join(columns)} FROM {source})"
+
+
+SERIES = "cluster, metric"
+
+
+def smooth_pass(source: str, name: str) -> list[str]:
+    """One outlier pass over ``source(cluster, metric, ds, t, base, fixed, is_outlier)``."""
+    halves = [f"greatest(floor({s / 2!r}::DOUBLE * n + 5e-1), 2)::BIGINT" for s in (0.05, 0.2, 0.5)]
+    return [
+        f"""{name}_at AS (SELECT *, row_number() OVER (PARTITION BY {SERIES} ORDER BY t) - 1 AS pos,
+  count(*) OVER (PARTITION BY {SERIES}) AS n FROM {source})""",
+        _line(f"{name}_at", f"{name}_fit", [("fixed", h, f"f{k}", f"e{k}") for k, h in enumerate(halves)]),
+        _line(f"{name}_fit", f"{name}_err", [(f"e{k}", halves[1], f"r{k}", None) for k in range(3)]),
+        f"""{name}_best AS (SELECT *, CASE WHEN r0 = least(r0, r1, r2) THEN 5e-2
+  WHEN r1 = least(r0, r1, r2) THEN 2e-1 ELSE 5e-1 END AS best FROM {name}_err)""",
+        _line(f"{name}_best", f"{name}_span", [("best", halves[1], "wanted", None)]),
+        f"""{name}_mix AS (
+  SELECT *, CASE WHEN s <= 2e-1 THEN f0 + (f1 - f0) * (s - 5e-2) / 15e-2
+    ELSE f1 + (f2 - f1) * (s - 2e-1) / 3e-1 END AS mixed
+  FROM (SELECT *, least(greatest(wanted, 5e-2), 5e-1) AS s FROM {name}_span))""",
+        _line(f"{name}_mix", f"{name}_end", [("mixed", halves[0], "smooth", None)]),
+        f"""{name}_quart AS (
+  SELECT {SERIES}, quantile_cont(fixed - smooth, 0.25) AS lo, quantile_cont(fixed - smooth, 0.75) AS hi
+  FROM {name}_end GROUP BY {SERIES}),
+{name}_mark AS (
+  SELECT {SERIES}, ds, t, base, was OR far AS is_outlier, CASE WHEN NOT (was OR far) THEN fixed END AS kept
+  FROM (SELECT e.*, is_outlier AS was, hi - lo > 1e-14
+      AND (fixed - smooth < lo - 3 * (hi - lo) OR fixed - smooth > hi + 3 * (hi - lo)) AS far
+    FROM {name}_end e JOIN {name}_quart USING ({SERIES})))""",
+        filled(f"{name}_mark", f"{name}_fill", SERIES, "kept", "ds, base, is_outlier"),
+        f"{name} AS (SELECT {SERIES}, ds, t, base, filled AS fixed, is_outlier FROM {name}_fill)",
+    ]
+
+
+_LONG = """long AS (
+  SELECT cluster, ds, t, metric, CAST(raw AS DOUBLE) AS raw FROM (
+    SELECT cluster, ds, t, CAST(orders AS DOUBLE) AS orders, CAST(avg_price AS DOUBLE) AS avg_price,
+      CAST(revenue AS DOUBLE) AS revenue FROM dense)
+  UNPIVOT INCLUDE NULLS (raw FOR metric IN (orders, avg_price, revenue)))"""
+REPAIRED = [
+    *DENSE_DAILY,
+    _LONG,
+    filled("long", "lin", SERIES, "raw", "ds, raw"),
+    f"start AS (SELECT {SERIES}, ds, t, filled AS base, filled AS fixed, false AS is_outlier FROM lin)",
+    *smooth_pass("start", "one"),
+    *smooth_pass("one", "two"),
+]
+query(
+    "outlier_supersmooth",
+    REPAIRED,
+    f"""SELECT cluster, {iso("ds")} AS ds, CAST(t AS INTEGER) AS t, {q4("base")} AS filled,
+  {q4("fixed")} AS fixed, is_outlier FROM two WHERE metric = 'orders'""",
+)
+query(
+    "series_repair",
+    REPAIRED,
+    f"""SELECT {SERIES}, {iso("two.ds")} AS ds, CAST(t AS INTEGER) AS t, {q4("raw")} AS raw,
+  {q4("fixed")} AS fixed, is_imputed, is_outlier FROM two JOIN lin USING ({SERIES}, t)""",
+)
 query(
     "time_index",
     DENSE_DAILY,

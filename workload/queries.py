@@ -650,15 +650,15 @@ def outlier_median(spark, folder):
 @query
 def outlier_supersmooth(spark, folder):
     filled = repair.interpolate(dense_daily(spark, folder), CLUSTER, "orders")
-    return repair.smooth_outliers(filled, CLUSTER, "filled").select(
-        "cluster", "ds", "t", "filled", "fixed", "is_outlier"
-    )
+    out = repair.smooth_outliers(filled, CLUSTER, "filled")
+    return cut(out.select("cluster", "ds", "t", "filled", "fixed", "is_outlier"), "filled", "fixed")
 
 
 @query
 def series_repair(spark, folder):
     """Raw and corrected values of all metrics side by side."""
-    return repair.repair(dense_daily(spark, folder), CLUSTER, facts.METRICS)
+    out = repair.repair(dense_daily(spark, folder), CLUSTER, facts.METRICS)
+    return cut(out.drop("is_padding"), "raw", "fixed")
 
 
 @query
