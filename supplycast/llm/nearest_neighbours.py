@@ -67,11 +67,18 @@ def usable(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") ->
     )
 
 
-def norm(vector: str | Column) -> Column:
-    longest = F.array_max(F.transform(vector, lambda x: F.abs(x)))
-    return longest * F.sqrt(
-        F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / longest) * (x / longest))
-    )
+def _measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, longest vector and most components of each batch."""
+    for batch in batches:
+        if batch.num_rows:
+            column = batch.column("vector")
+            width = max(column.value_lengths().to_pylist())
+            vectors = matrix(column, width)
+            largest = np.abs(vectors).max(1)
+            norms = largest * np.sqrt(((vectors / largest[:, None]) ** 2).sum(1))
+            yield pa.RecordBatch.from_pydict(
+                {"n": [batch.num_rows], "longest": [norms.max()], "width": [width]}
+            )
 
 
 class Space:
@@ -318,9 +325,8 @@ def nearest_neighbours(
     spark = df.sparkSession
     rows = usable(df, vec_id, vector)
     asking = usable(df.where(query), vec_id, vector).dropDuplicates(["vec_id", "vector"])
-    n, longest, width = rows.agg(
-        F.count("*"), F.max(norm("vector")), F.max(F.size("vector"))
-    ).first()
+    measures = rows.select("vector").mapInArrow(_measures, "n long, longest double, width long")
+    n, longest, width = measures.agg(F.sum("n"), F.max("longest"), F.max("width")).first()
     result = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], result)
