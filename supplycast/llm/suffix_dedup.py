@@ -1,4 +1,4 @@
-"""Exact removal of repeated byte strings by bucket-pointer refinement.
+"""Exact removal of repeated byte strings by hashed bucket names at window minima.
 
 A bucket is the set of suffixes that start with the same bytes, and its identifier is a name that every
 task computes alike: the q-gram's hash at first, then, for twice the depth, the name of the pair of
@@ -11,6 +11,9 @@ enter the first grouping, and each stands for the run of starts whose smallest g
 alone in their bucket leave.  The others are refined by the name of all bytes their starts cover: where
 that is shared, every start of the run repeats.  What still differs, at the ends of repeated passages,
 is refined to the full length start by start.
+
+This takes the place of bucket-pointer refinement proper, which sorts every suffix's bucket by the
+identifiers of later offsets: that needs a row for every byte of the corpus in every round.
 """
 
 from __future__ import annotations
