@@ -71,17 +71,17 @@ def damped_trend(y, phi, points=9, rounds=4):
     return tuple(float(v) for v in best[1:])
 
 
-def _first_states(y, trend, season, freq):
-    """Level, slope and season before the first value, from the first cycles."""
-    head = y[: 2 * freq] if season != "N" else y[:10]
-    x = np.arange(1, len(head) + 1)
-    slope = np.polyfit(x, head, 1)[0] if trend != "N" and len(head) > 1 else 0.0
-    level = head.mean() - slope * x.mean()
+def _line_and_figure(y, trend, season, freq):
+    """Level and slope before the first value and the season, all from the whole series."""
+    x = np.arange(1, len(y) + 1)
+    slope = np.polyfit(x, y, 1)[0] if trend != "N" and len(y) > 1 else 0.0
+    level = y.mean() - slope * x.mean()
     if season == "N":
         return level, slope, np.zeros(1)
-    line = level + slope * x
-    parts = (head - line if season == "A" else head / line).reshape(2, freq).mean(axis=0)
-    return level, slope, parts - parts.mean() if season == "A" else parts / parts.mean()
+    line = y.mean() + np.polyfit(x, y, 1)[0] * (x - x.mean())
+    parts = y - line if season == "A" else y / line
+    figure = np.bincount((x - 1) % freq, parts) / np.bincount((x - 1) % freq)
+    return level, slope, figure - figure.mean() if season == "A" else figure / figure.mean()
 
 
 def _grid(trend, season):
@@ -96,25 +96,45 @@ def _grid(trend, season):
     return alpha, alpha * beta, (1 - alpha) * gamma, phi
 
 
-def _run_form(y, trend, season, freq):
-    """Final states and error sums of one trend and season form over its grid."""
-    alpha, beta, gamma, phi = weights = _grid(trend, season)
-    level, slope, figure = _first_states(y, trend, season, freq)
-    level, slope = np.full(len(alpha), level), np.full(len(alpha), slope)
-    figure = np.tile(figure[:, None], len(alpha))
+def _smooth(y, phases, weights, level, slope, figure, season):
+    """States after the last value and error sums of the whole grid; ``figure`` is updated."""
+    alpha, beta, gamma, phi = weights
     sse, relative, logs = np.zeros((3, len(alpha)))
-    for t, value in enumerate(y):
+    for value, phase in zip(y, phases):
         base = level + phi * slope
-        s = figure[t % len(figure)]
+        s = figure[phase]
         forecast = {"N": base, "A": base + s, "M": base * s}[season]
         error = value - forecast
         pull = error / s if season == "M" else error
         if season != "N":
-            figure[t % len(figure)] = s + gamma * (error / base if season == "M" else error)
+            figure[phase] = s + gamma * (error / base if season == "M" else error)
         level, slope = base + alpha * pull, phi * slope + beta * pull
         sse += error**2
         relative += (error / forecast) ** 2
         logs += np.log(np.abs(forecast))
+    return level, slope, sse, relative, logs
+
+
+def _run_form(y, trend, season, freq):
+    """Final states and error sums of one trend and season form over its grid.
+
+    Start states are backcast: each grid point first smooths the reversed series, which begins at
+    the far end of the line through all values, and the states it reaches before the first value,
+    with the slope turned round, are those the forward pass starts from.
+    """
+    weights = _grid(trend, season)
+    size, phi = len(weights[0]), weights[3]
+    level, slope, figure = _line_and_figure(y, trend, season, freq)
+    phases = np.arange(len(y)) % len(figure)
+    figure = np.tile(figure[:, None], size)
+    far = np.full(size, level + slope * (len(y) + 1))
+    level, slope, *_ = _smooth(
+        y[::-1], phases[::-1], weights, far, np.full(size, -slope), figure, season
+    )
+    level, slope = level + phi * slope, -slope
+    level, slope, sse, relative, logs = _smooth(
+        y, phases, weights, level, slope, figure, season
+    )
     # the next period's phase first
     figure = np.roll(figure, -(len(y) % len(figure)), axis=0)
     return weights, level, slope, figure, sse, relative, logs

@@ -140,39 +140,29 @@ def hierarchical_labels(
 ) -> DataFrame:
     """Ward or centroid linkage, cut at given sizes: ``{column: (method, k)}``.
 
-    Rows are first condensed to at most ``micro`` k-means cells; the linkage
-    runs on the weighted cell centres.  With no more rows than cells, every
-    row is its own cell and the result is the exact linkage.
+    Rows are condensed to at most ``micro`` k-means cells that start from drawn
+    rows; the linkage runs on the weighted cell centres.  With no more distinct
+    rows than cells the same steps make each its own cell, so the linkage is exact.
     """
     z = [f"z_{c}" for c in columns]
-    if features.count() <= micro:
-        cells = features.groupBy(*z).agg(F.count("*").alias("n")).orderBy(*z).collect()
-        weights = np.array([r["n"] for r in cells], float)
-        centres = np.array([[r[c] for c in z] for r in cells], float)
-        cell_of = features
-        names = [tuple(r[c] for c in z) for r in cells]
-        on, kinds = z, ", ".join(f"{c} double" for c in z)
-    else:
-        model = KMeans(k=micro, seed=seed, maxIter=20).fit(features)
-        cell_of = model.transform(features).withColumnRenamed("prediction", "_cell")
-        means = cell_of.groupBy("_cell").agg(
-            F.count("*").alias("n"), *[F.avg(c).alias(c) for c in z]
-        )
-        cells = means.orderBy("_cell").collect()
-        weights = np.array([r["n"] for r in cells], float)
-        centres = np.array([[r[c] for c in z] for r in cells], float)
-        names = [(r["_cell"],) for r in cells]
-        on, kinds = ["_cell"], "_cell int"
+    model = KMeans(k=micro, seed=seed, maxIter=20, initMode="random").fit(features)
+    cell_of = model.transform(features).withColumnRenamed("prediction", "_cell")
+    means = cell_of.groupBy("_cell").agg(
+        F.count("*").alias("n"), *[F.avg(c).alias(c) for c in z]
+    )
+    cells = means.orderBy("_cell").collect()
+    weights = np.array([r["n"] for r in cells], float)
+    centres = np.array([[r[c] for c in z] for r in cells], float)
     labels = {
         column: linkage.cut(linkage.merge(centres, weights, method), len(cells), k)
         for column, (method, k) in cuts.items()
     }
     rows = [
-        name + tuple(str(labels[column][i]) for column in cuts) for i, name in enumerate(names)
+        (r["_cell"], *(str(labels[column][i]) for column in cuts)) for i, r in enumerate(cells)
     ]
-    schema = f"{kinds}, " + ", ".join(f"{column} string" for column in cuts)
+    schema = "_cell int, " + ", ".join(f"{column} string" for column in cuts)
     table = features.sparkSession.createDataFrame(rows, schema)
-    return cell_of.join(table, on).drop("_cell", "features")
+    return cell_of.join(table, "_cell").drop("_cell", "features")
 
 
 # -- choice of k ----------------------------------------------------------------------------
