@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -87,11 +89,17 @@ OPENNESS = {
     "cc-by-nc": 0.1,
     "proprietary": 0.0,
 }
+#: fixed values: identifiers in use that carry neither a version nor a family above
+PLAIN_IDENTIFIERS = frozenset(
+    "0bsd beerware blessing curl fsfap ftl icu ijg intel libtiff ncsa ntp openssl php postgresql psf"
+    " python ruby sleepycat tcl vim wtfpl x11 xnet zlib".split()
+)
 #: of an identifier without family, and of a text without any label
 UNKNOWN = 0.5
 
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"\(|\)|[a-z0-9][a-z0-9.+-]*")
+_VERSIONED = re.compile(r"(?:licenseref-[a-z0-9.-]+|[a-z][a-z0-9]*(?:-[a-z0-9]+)*-v?[0-9]+(?:\.[0-9]+)*(?:-[a-z]+)*)\+?")
 _SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 _NORMAL = bytes(
     0x20 if c in _SEPARATORS else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)
@@ -113,11 +121,19 @@ def family(identifier: str) -> str:
     return name
 
 
+def is_identifier(token: str) -> bool:
+    """A known family or name, or the shape of a versioned identifier such as ``ofl-1.1``."""
+    return (
+        family(token) in OPENNESS or token in PLAIN_IDENTIFIERS or _VERSIONED.fullmatch(token) is not None
+    )
+
+
 def to_postfix(expression: str) -> list[str] | None:
     """Postfix form of a lower-case licence expression by the shunting-yard method.
 
     Reading stops at the first token that cannot continue the expression (prose after the tag); None
-    if no complete expression stands there.
+    if no complete expression stands there.  The first operand is what the tag names, whatever it is;
+    later ones must look like identifiers (``is_identifier``), so that "mit and others" is ``mit``.
     """
     tokens, output, stack, operand_next = _TOKEN.findall(expression), [], [], True
     good: list[str] | None = None
@@ -128,6 +144,8 @@ def to_postfix(expression: str) -> list[str] | None:
                 continue
             if token == ")" or token in _PRECEDENCE:
                 break
+            if output and not is_identifier(token) and stack[-1:] != ["with"]:
+                break
             output.append(token)
             operand_next = False
         elif token in _PRECEDENCE:
@@ -188,12 +206,15 @@ def scan(text: str | None) -> tuple:
     have no words, no labels and the score of an unknown licence.
     """
     words = [w for w in normal_words(text) if w]
-    joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
+    pieces = b" ".join(words).decode("utf-8", "surrogatepass").split(" ") if words else []
+    joined = f" {' '.join(pieces)} "
+    #: where the blank before each word stands in ``joined``
+    blanks = list(accumulate((len(piece) + 1 for piece in pieces), initial=0))
     at: list[int] = []
     base, more, scores, tagged = set(), set(), [], False
     for end, phrase in _automaton().iter(joined):
         if phrase in BASE_PHRASES:
-            at.append(joined.count(" ", 0, end - len(phrase)) - 1)
+            at.append(bisect_left(blanks, end - len(phrase) - 1))
             base.add(BASE_PHRASES[phrase])
             more.add(BASE_PHRASES[phrase])
         elif phrase == TAG:
