@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import functools
 import re
-from bisect import bisect_left
 from itertools import accumulate
 
 import pyarrow as pa
@@ -206,21 +205,22 @@ def scan(text: str | None) -> tuple:
     have no words, no labels and the score of an unknown licence.
     """
     words = [w for w in normal_words(text) if w]
-    pieces = b" ".join(words).decode("utf-8", "surrogatepass").split(" ") if words else []
-    joined = f" {' '.join(pieces)} "
-    #: where the blank before each word stands in ``joined``
-    blanks = list(accumulate((len(piece) + 1 for piece in pieces), initial=0))
-    at: list[int] = []
+    joined = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
+    blanks: list[int] = []
     base, more, scores, tagged = set(), set(), [], False
     for end, phrase in _automaton().iter(joined):
         if phrase in BASE_PHRASES:
-            at.append(bisect_left(blanks, end - len(phrase) - 1))
+            blanks.append(end - len(phrase) - 1)
             base.add(BASE_PHRASES[phrase])
             more.add(BASE_PHRASES[phrase])
         elif phrase == TAG:
             tagged = True
         else:
             more.add(NOTICE_PHRASES[phrase])
+    # the blank before a word has as many blanks before it as the word has words
+    blanks.sort()
+    steps = zip([0, *blanks], blanks)
+    at = list(accumulate(joined.count(" ", before, here) for before, here in steps))
     scores += [OPENNESS[label] for label in more]
     if tagged:
         for tag in _TAG_AT.finditer(text.lower()):
