@@ -1,8 +1,8 @@
-"""Automatic ARIMA as a parallel search over (series, candidate) rows."""
+"""ARIMA by exact Gaussian likelihood: given orders, or a search over (series, candidate) rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import product
 
 import pandas as pd
@@ -10,17 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supplycast.functions import css
+from supplycast.functions import arma
 from supplycast.functions.stats import normal_quantile
 from supplycast.operators import boxcox
 from supplycast.operators.diagnose import difference, difference_order, seasonal_strength
 from supplycast.operators.spine import pack
 
 ORDERS = ("p", "q", "sp", "sq", "constant")
+SHAPE = ("p", "d", "q", "sp", "sd", "sq")
 # Fixed value: share of variance above which a season is differenced.
 SEASONAL = 0.64
 _NUMBERS = ("sigma2", "loglik", "aic", "aicc", "bic")
-_ARRAYS = ("coefficients", "residuals", "mean", "se")
+_ESTIMATES = ("coefficients", "std_errors")
+_PATHS = ("residuals", "mean", "se")
 
 
 def candidates(most: int, season: bool) -> list[tuple[int, int, int, int, int]]:
@@ -33,10 +35,80 @@ def candidates(most: int, season: bool) -> list[tuple[int, int, int, int, int]]:
     ]
 
 
+def _doubles(names: Iterable[str], arrays: bool) -> list[T.StructField]:
+    kind = T.ArrayType(T.DoubleType()) if arrays else T.DoubleType()
+    return [T.StructField(n, kind) for n in names]
+
+
+def _added(df: DataFrame, fields: list[T.StructField], one_row) -> DataFrame:
+    """``df`` with the columns that ``one_row`` gives for each of its rows, NULL where it gives none."""
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [one_row(r) for r in batch.itertuples()]
+            extra = pd.DataFrame(found, index=batch.index).reindex(columns=names)
+            extra = extra.astype(object).where(extra.notna(), None)
+            yield pd.concat([batch, extra], axis=1)
+
+    return df.mapInPandas(run, T.StructType(df.schema.fields + fields))
+
+
+def _estimated(rows: DataFrame, freq: int) -> DataFrame:
+    fields = [
+        T.StructField("reason", T.StringType()),
+        *_doubles(_NUMBERS, False),
+        *_doubles(_ESTIMATES, True),
+    ]
+
+    def one_row(r) -> dict:
+        return arma.fit(r.ys, *(getattr(r, c) for c in SHAPE), freq, r.constant)
+
+    return _added(rows, fields, one_row)
+
+
+def _extended(fits: DataFrame, freq: int, horizon: int) -> DataFrame:
+    """Residuals and forecasts of the fitted rows, from their coefficients."""
+
+    def one_row(r) -> dict:
+        if r.coefficients is None:
+            return {}
+        shape = (int(getattr(r, c)) for c in SHAPE)
+        return arma.predict(
+            r.ys, *shape, freq, int(r.constant), r.coefficients, r.sigma2, horizon
+        )
+
+    return _added(fits, _doubles(_PATHS, True), one_row)
+
+
+def _named(fits: DataFrame) -> DataFrame:
+    order = F.format_string("(%d,%d,%d)", "p", "d", "q")
+    season = F.when(
+        F.col("sp") + F.col("sd") + F.col("sq") > 0, F.format_string("(%d,%d,%d)", "sp", "sd", "sq")
+    ).otherwise("")
+    drift = F.when(F.col("constant") == 1, " with constant").otherwise("")
+    name = F.concat(F.lit("ARIMA"), order, season, drift)
+    return fits.withColumn("model", F.when(F.col("coefficients").isNotNull(), name))
+
+
+def fixed(
+    packed: DataFrame,
+    horizon: int,
+    order: tuple[int, int, int],
+    season: tuple[int, int, int] = (0, 0, 0),
+    *,
+    freq: int = 1,
+    constant: bool = False,
+) -> DataFrame:
+    """One given order for every series; those it does not fit keep their row, with a ``reason``."""
+    shape = {c: F.lit(v) for c, v in zip(SHAPE, (*order, *season))}
+    rows = packed.withColumns({**shape, "constant": F.lit(int(constant)), "n_candidates": F.lit(1)})
+    return _named(_extended(_estimated(rows, freq), freq, horizon))
+
+
 def search(
     packed: DataFrame,
     keys: list[str],
-    horizon: int,
     *,
     freq: int = 1,
     seasonal: bool = False,
@@ -71,36 +143,17 @@ def search(
         .where((F.size("ys") >= 2 * freq) | (F.col("sp") + F.col("sq") == 0))
         .where("constant = 0 OR d + sd <= 1")
     )
-    given = T.StructType(rows.schema.fields)
-    schema = T.StructType(
-        given.fields
-        + [T.StructField("reason", T.StringType())]
-        + [T.StructField(n, T.DoubleType()) for n in _NUMBERS]
-        + [T.StructField(n, T.ArrayType(T.DoubleType())) for n in _ARRAYS]
-    )
-    outputs = ["reason", *_NUMBERS, *_ARRAYS]
-
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [
-                css.fit(r.ys, r.p, r.d, r.q, r.sp, r.sd, r.sq, freq, r.constant, horizon)
-                for r in batch.itertuples()
-            ]
-            extra = pd.DataFrame(found, index=batch.index).reindex(columns=outputs)
-            extra = extra.astype(object).where(extra.notna(), None)
-            yield pd.concat([batch, extra], axis=1)
-
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = rows.repartition(tasks, *keys, *ORDERS)
-    return spread.mapInPandas(fit, schema)
+    return _estimated(rows.repartition(tasks, *keys, *ORDERS), freq)
 
 
 def auto(packed: DataFrame, keys: list[str], horizon: int, **options) -> DataFrame:
     """Candidate with the least corrected AIC per series, with its forecast arrays.
 
-    A series that no candidate fits (too short, gaps) keeps its row, with a ``reason`` and no model.
+    Candidates are compared by their criteria and coefficients only; residuals and forecasts are
+    made for the chosen one.  A series that no candidate fits (too short, gaps) keeps its row, with a ``reason`` and no model.
     """
-    tried = search(packed, keys, horizon, **options)
+    tried = search(packed, keys, **options)
     whole = F.struct(*[c for c in tried.columns if c not in [*keys, "reason"]])
     fitted = F.col("reason").isNull()
     best = tried.groupBy(*keys).agg(
@@ -109,14 +162,8 @@ def auto(packed: DataFrame, keys: list[str], horizon: int, **options) -> DataFra
         F.min("reason").alias("_reason"),
     )
     failed = F.when(F.col("n_candidates") == 0, F.col("_reason"))
-    order = F.format_string("(%d,%d,%d)", "p", "d", "q")
-    season = F.when(
-        F.col("sp") + F.col("sd") + F.col("sq") > 0, F.format_string("(%d,%d,%d)", "sp", "sd", "sq")
-    ).otherwise("")
-    drift = F.when(F.col("constant") == 1, " with constant").otherwise("")
-    return best.select(*keys, "n_candidates", failed.alias("reason"), "_b.*").withColumn(
-        "model", F.when(F.col("p").isNotNull(), F.concat(F.lit("ARIMA"), order, season, drift))
-    )
+    chosen = best.select(*keys, "n_candidates", failed.alias("reason"), "_b.*")
+    return _named(_extended(chosen, options.get("freq", 1), horizon))
 
 
 def auto_boxcox(
@@ -165,7 +212,7 @@ def residual_rows(fit: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def summary(fit: DataFrame, keys: list[str]) -> DataFrame:
-    """Order, coefficients and criteria per series."""
+    """Order, coefficients with their errors, and criteria per series."""
     return fit.select(
-        *keys, "model", "reason", "coefficients", F.size("ys").alias("n"), "n_candidates", *_NUMBERS
+        *keys, "model", "reason", *_ESTIMATES, F.size("ys").alias("n"), "n_candidates", *_NUMBERS
     )

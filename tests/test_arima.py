@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from conftest import series_frame
 
-from supplycast.functions import css
+from supplycast.functions import arma
 from supplycast.operators import arima, spine
 
 ID = ["series_id"]
@@ -22,9 +22,47 @@ def simulate(n, ar=(), ma=(), seed=0, mean=0.0):
     return y[50:] + mean
 
 
+def fit_and_predict(y, *candidate, horizon):
+    fit = arma.fit(y, *candidate)
+    return fit | arma.predict(y, *candidate, fit["coefficients"], fit["sigma2"], horizon)
+
+
+def dense(x, ar, ma, horizon):
+    """Errors, log scales, forecasts from the whole covariance matrix, by far-reaching psi weights."""
+    psi = np.zeros(4000)
+    for k in range(len(psi)):
+        psi[k] = ma[k] if k < len(ma) else 0.0
+        psi[k] -= sum(ar[j] * psi[k - j] for j in range(1, min(k, len(ar) - 1) + 1))
+    n = len(x) + horizon
+    lagged = np.array([psi[: len(psi) - h] @ psi[h:] for h in range(n)])
+    every = lagged[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))]
+    known = every[: len(x), : len(x)]
+    root = np.linalg.cholesky(known)
+    ahead = every[len(x) :, : len(x)] @ np.linalg.solve(known, x)
+    return np.linalg.solve(root, x), np.log(np.diag(root)), ahead
+
+
+YEARLY = (
+    np.convolve([1, -0.5], np.r_[1, np.zeros(11), -0.4]),
+    np.convolve([1, 0.4], np.r_[1, np.zeros(11), 0.5, np.zeros(11), 0.2]),
+)
+
+
+@pytest.mark.parametrize("ar, ma", [
+    ([1, -0.7], [1]), ([1], [1, 0.5]), ([1, -0.5, 0.3], [1, 0.4, -0.2]), ([1], [1]), YEARLY,
+])
+@pytest.mark.parametrize("n", [3, 16, 33, 150])
+def test_innovations_match_the_whole_covariance(ar, ma, n):
+    x = np.random.default_rng(n).normal(size=n)
+    ar, ma = np.array(ar, float), np.array(ma, float)
+    got = arma.innovations(x[None], ar[None], ma[None], 12)
+    for mine, plain in zip(got, dense(x, ar, ma, 12)):
+        assert mine[0] == pytest.approx(plain, abs=1e-11)
+
+
 def test_coefficients_of_a_known_process():
     y = simulate(600, ar=(0.7,), ma=(0.4,), seed=1, mean=5)
-    fit = css.fit(y, 1, 0, 1, 0, 0, 0, 1, True, 3)
+    fit = arma.fit(y, 1, 0, 1, 0, 0, 0, 1, True)
     ar, ma, mean = fit["coefficients"]
     assert ar == pytest.approx(0.7, abs=0.1)
     assert ma == pytest.approx(0.4, abs=0.12)
@@ -32,27 +70,42 @@ def test_coefficients_of_a_known_process():
     assert fit["sigma2"] == pytest.approx(1, abs=0.15)
 
 
-def test_fit_is_a_minimum():
+def exact_loglik(y, coefficients):
+    e, logs, _ = dense(y, np.r_[1, -np.array(coefficients)], np.ones(1), 0)
+    return -len(y) / 2 * (np.log(2 * np.pi * (e @ e) / len(y)) + 1) - logs.sum()
+
+
+def test_fit_is_the_likelihood_maximum():
     y = simulate(150, ar=(0.5, 0.2), seed=2)
-    fit = css.fit(y, 2, 0, 0, 0, 0, 0, 1, False, 1)
-    x = np.column_stack([np.r_[0, y[:-1]], np.r_[0, 0, y[:-2]]])
-    ols = np.linalg.lstsq(x, y, rcond=None)[0]
-    assert fit["coefficients"] == pytest.approx(ols, abs=1e-3)
+    fit = arma.fit(y, 2, 0, 0, 0, 0, 0, 1, False)
+    best = exact_loglik(y, fit["coefficients"])
+    assert fit["loglik"] == pytest.approx(best)
+    for shift in np.vstack([np.eye(2), -np.eye(2)]) * 1e-3:
+        assert exact_loglik(y, fit["coefficients"] + shift) < best
+    # the curvature of the likelihood gives the errors of the coefficients
+    step = 1e-3 * np.eye(2)
+    at = lambda i, j, s, t: exact_loglik(y, fit["coefficients"] + s * step[i] + t * step[j])
+    hessian = [
+        [(at(i, j, 1, 1) - at(i, j, 1, -1) - at(i, j, -1, 1) + at(i, j, -1, -1)) / 4e-6 for j in (0, 1)]
+        for i in (0, 1)
+    ]
+    errors = np.sqrt(np.diag(np.linalg.inv(-np.array(hessian))))
+    assert fit["std_errors"] == pytest.approx(errors, rel=0.03)
 
 
 def test_random_walk_forecast_and_errors():
     y = np.cumsum(np.random.default_rng(3).normal(size=80))
-    fit = css.fit(y, 0, 1, 0, 0, 0, 0, 1, False, 4)
+    fit = fit_and_predict(y, 0, 1, 0, 0, 0, 0, 1, False, horizon=4)
     assert fit["mean"] == pytest.approx([y[-1]] * 4)
     assert np.array(fit["se"]) ** 2 == pytest.approx(fit["sigma2"] * np.arange(1, 5))
-    drift = css.fit(y, 0, 1, 0, 0, 0, 0, 1, True, 4)
+    drift = fit_and_predict(y, 0, 1, 0, 0, 0, 0, 1, True, horizon=4)
     step = (y[-1] - y[0]) / 79
     assert drift["mean"] == pytest.approx(y[-1] + step * np.arange(1, 5), abs=1e-6)
 
 
 def test_seasonal_difference_repeats_the_last_cycle():
     figure = np.tile([1.0, 5.0, 2.0, 8.0], 10) + np.random.default_rng(4).normal(0, 0.01, 40)
-    fit = css.fit(figure, 0, 0, 0, 0, 1, 0, 4, False, 4)
+    fit = fit_and_predict(figure, 0, 0, 0, 0, 1, 0, 4, False, horizon=4)
     assert fit["mean"] == pytest.approx(figure[-4:])
 
 
@@ -64,7 +117,7 @@ def test_search_picks_the_order_and_reports_failures(spark):
         "const": [3.0] * 30,
     }
     packed = spine.pack(series_frame(spark, series), ID)
-    tried = arima.search(packed, ID, 3)
+    tried = arima.search(packed, ID)
     failed = {r["series_id"] for r in tried.where("reason IS NOT NULL").collect()}
     assert "short" in failed
     best = {r["series_id"]: r for r in arima.auto(packed, ID, 3).collect()}
@@ -112,6 +165,12 @@ def test_no_series_vanishes(spark):
     assert set(fits) == set(series)
     for name in ("gap", "short", "empty"):
         assert fits[name]["model"] is None and fits[name]["reason"]
+        assert fits[name]["mean"] is None
+    assert fits["gap"]["reason"] == "series has gaps"
+    given = {r["series_id"]: r for r in arima.fixed(packed, 3, (1, 0, 0)).collect()}
+    assert set(given) == set(series)
+    assert given["zero"]["model"] == "ARIMA(1,0,0)" and len(given["zero"]["mean"]) == 3
+    assert given["gap"]["model"] is None and given["gap"]["reason"] == "series has gaps"
     assert fits["const"]["mean"] == pytest.approx([7.0] * 3)
     assert fits["zero"]["reason"] is None
     scaled = {r["series_id"]: r for r in arima.auto_boxcox(long, ID, 3, 12).collect()}
