@@ -1235,6 +1235,76 @@ query(
     WHEN avg(mean) < any_value(last_actual) THEN 'down' ELSE 'flat' END AS verdict
 FROM path GROUP BY 1""",
 )
+# exact likelihood of a first-order autoregression of the changes: the best coefficient is the one
+# root inside the unit interval of a cubic in three sums, found by halving
+CHANGES = [
+    *SELLER_HOLT[:6],
+    """chg AS MATERIALIZED (
+  SELECT seller_id, t, y, y - lag(y) OVER s AS w, lag(y) OVER s - lag(y, 2) OVER s AS v
+  FROM obs WINDOW s AS (PARTITION BY seller_id ORDER BY t))""",
+    """sums AS MATERIALIZED (
+  SELECT seller_id, CAST(count(w) AS DOUBLE) AS n, sum(w * w) AS a, sum(w * v) AS b,
+    sum(w * w) - arg_min(w, t) * arg_min(w, t) - arg_max(w, t) * arg_max(w, t) AS c,
+    arg_min(w, t) AS w1, arg_max(w, t) AS wn, arg_max(y, t) AS yn, max(t) AS last_t
+  FROM chg WHERE w IS NOT NULL GROUP BY 1)""",
+    """halves AS (
+  SELECT seller_id, 0 AS step, -0.999::DOUBLE AS lo, 0.999::DOUBLE AS hi FROM sums
+  UNION ALL
+  SELECT seller_id, step + 1, CASE WHEN right_of THEN lo ELSE m END, CASE WHEN right_of THEN m ELSE hi END
+  FROM (SELECT seller_id, step, lo, hi, (lo + hi) / 2 AS m,
+      n * (m * c - b) * (1 - m * m) + m * (a - 2 * m * b + m * m * c) > 0 AS right_of
+    FROM halves JOIN sums USING (seller_id) WHERE step < 60))""",
+    """best AS MATERIALIZED (
+  SELECT sums.*, (lo + hi) / 2 AS phi, a - 2 * phi * b + phi * phi * c AS sse,
+    sse * pow(1 - phi * phi, -1 / n) AS scaled, sse / (n - 1) AS sigma2,
+    n * (ln(2 * pi() * scaled / n) + 1) AS dev
+  FROM halves JOIN sums USING (seller_id) WHERE step = 60)""",
+]
+query(
+    "arima_fixed",
+    [
+        *CHANGES,
+        """slope AS (
+  SELECT seller_id, pow(1 - any_value(phi) * any_value(phi), -1 / any_value(n)) * sum(pow(CASE
+      WHEN v IS NULL THEN w * sqrt(1 - phi * phi) * (phi / (n * (1 - phi * phi)) - phi / (1 - phi * phi))
+      ELSE (w - phi * v) * phi / (n * (1 - phi * phi)) - v END, 2)) AS info
+  FROM chg JOIN best USING (seller_id) WHERE w IS NOT NULL GROUP BY 1)""",
+    ],
+    f"""SELECT seller_id, 'ARIMA(1,1,0)' AS model, {q4("phi")} AS phi,
+  {q4("sqrt(scaled / n / info)")} AS std_error, {q4("sigma2")} AS sigma2, {q4("-dev / 2")} AS loglik,
+  {q4("dev + 4")} AS aic, {q4("dev + 4 + 12 / (n - 3)")} AS aicc, {q4("dev + 2 * ln(n)")} AS bic
+FROM best JOIN slope USING (seller_id)""",
+)
+query(
+    "arima_fixed_forecast",
+    [
+        *CHANGES,
+        """path AS (
+  SELECT seller_id, h, last_t + h AS t, yn + wn * phi * (1 - pow(phi, h)) / (1 - phi) AS mean,
+    sqrt(sigma2 * list_sum(list_transform(range(1, h + 1), lambda j: pow((1 - pow(phi, j)) / (1 - phi), 2))))
+      AS sd
+  FROM (SELECT *, unnest(range(1, 5)) AS h FROM best))""",
+    ],
+    _bounds("path", "seller_id"),
+)
+_ARIMA_RESIDUALS = """res AS (
+  SELECT seller_id, t, CAST(n AS BIGINT) AS n,
+    CASE WHEN v IS NULL THEN w * sqrt(1 - phi * phi) ELSE w - phi * v END AS r
+  FROM chg JOIN best USING (seller_id) WHERE w IS NOT NULL)"""
+query(
+    "ljung_box_arima",
+    [
+        *CHANGES,
+        _ARIMA_RESIDUALS,
+        *[c.replace("cluster", "seller_id") for c in portmanteau(16, 10, 1)[1:3]],
+        """tail AS (
+  SELECT *, lag - 1 AS df, 1 - list_sum(list_transform(range(0, 300), lambda k:
+    exp((df / 2.0 + k) * ln(q / 2) - q / 2 - lgamma(df / 2.0 + k + 1)))) AS p FROM lb)""",
+    ],
+    _PORTMANTEAU.replace("cluster", "seller_id"),
+)
+
+
 def damped_search(key: str, points: int = 9, rounds: int = 4) -> list[str]:
     """``fit(key, n, alpha, beta, l0, b0)`` and the run ``path(key, t, y, f, level, trend, sse)``.
 

@@ -41,6 +41,7 @@ CLUSTER = ["cluster"]
 MONTHS_VALID = 12
 SHORT_VALID = 3
 DAYS_VALID = 17
+DAYS_ARIMA = 12
 BOUNDS = ("mean", "lo_80", "hi_80", "lo_95", "hi_95")
 FIT = ("alpha", "beta", "level", "trend", "sse", "sigma2", "aic", "aicc", "bic")
 
@@ -901,6 +902,45 @@ def arima_forecast(spark, folder):
     return arima.forecast(fit, CLUSTER)
 
 
+def _seller_arima(spark, folder):
+    """First-order autoregression of the monthly changes of every seller."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = spine.pack(seller_monthly(spark, folder), ["seller_id"], tasks=tasks)
+    return arima.fixed(packed, 4, (1, 1, 0))
+
+
+@query
+def arima_fixed(spark, folder):
+    """Coefficient, its error and the criteria of a given order, per seller."""
+    fit = _seller_arima(spark, folder).withColumns(
+        {"phi": F.col("coefficients")[0], "std_error": F.col("std_errors")[0]}
+    )
+    numbers = ("phi", "std_error", "sigma2", "loglik", "aic", "aicc", "bic")
+    return cut(fit.select("seller_id", "model", *numbers), *numbers)
+
+
+@query
+def arima_fixed_forecast(spark, folder):
+    out = arima.forecast(_seller_arima(spark, folder), ["seller_id"])
+    return cut(out.drop("model"), *BOUNDS)
+
+
+@query
+def ljung_box_arima(spark, folder):
+    """Residuals of the given order, per seller; the coefficient takes one degree of freedom."""
+    rows = arima.residual_rows(_seller_arima(spark, folder), ["seller_id"])
+    packed = spine.pack(rows, ["seller_id"], value="residual", day="t")
+    return cut(diagnose.ljung_box(packed, ["seller_id"], fit_df=1), "q", "p_value")
+
+
+@query
+def arima_daily(spark, folder):
+    """Twelve days ahead on the Box-Cox scale, from all but the last seventeen days."""
+    split = spine.split_last(filled_daily(spark, folder), CLUSTER, DAYS_VALID)
+    fit = arima.auto_boxcox(split.where("split = 'train'"), CLUSTER, DAYS_ARIMA, 365)
+    return arima.forecast(fit, [*CLUSTER, "lambda"])
+
+
 @query
 def arima_seasonal(spark, folder):
     """Search with seasonal terms and the seasonal differencing rule."""
