@@ -21,21 +21,38 @@ KPI_COLUMNS = [
 ]
 
 
+#: item column -> the KPI that averages it
+SERVICE = {"days_shipping": "avg_shipping", "review_score": "avg_score", "distance": "avg_distance"}
+
+
 def seller_category_kpis(items: DataFrame) -> DataFrame:
-    """KPIs per seller and category in one pass over the items."""
-    price = F.col("price")
-    return items.groupBy("seller_id", "category").agg(
-        F.countDistinct("product_id").alias("cnt_products"),
-        F.countDistinct("order_id").alias("cnt_orders"),
-        (money_sum(price).cast("double") / F.count("price")).alias("avg_price"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        (F.max("price") - F.min("price")).alias("price_range"),
-        money_sum(price).alias("revenue"),
-        F.avg("days_shipping").alias("avg_shipping"),
-        F.sum(F.col("delayed_shipping").cast("int")).alias("n_delayed"),
-        F.avg("review_score").alias("avg_score"),
-        F.avg("distance").alias("avg_distance"),
+    """One row per seller and category, from one pass over the items.
+
+    ``reach`` counts distinct orders and products, ``money`` holds the exact revenue and the mean and
+    limits of the prices, ``service`` the means of ``SERVICE``, ``late`` the items posted too late.
+    """
+    amount = money_sum(F.col("price"))
+    reach = {name: F.countDistinct(f"{name[:-1]}_id") for name in ("orders", "products")}
+    money = {
+        "revenue": amount,
+        "mean_price": amount.cast("double") / F.count("price"),
+        "cheapest": F.min("price"),
+        "dearest": F.max("price"),
+    }
+    service = {kpi: F.avg(column) for column, kpi in SERVICE.items()}
+    themes = [
+        F.struct(*[value.alias(name) for name, value in theme.items()]).alias(title)
+        for title, theme in (("reach", reach), ("money", money), ("service", service))
+    ]
+    late = F.sum(F.col("delayed_shipping").cast("int")).alias("late")
+    return items.groupBy("seller_id", "category").agg(*themes, late)
+
+
+def flat(per_category: DataFrame) -> DataFrame:
+    """The themes of ``seller_category_kpis`` as plain columns, with the span of the prices."""
+    span = (F.col("money.dearest") - F.col("money.cheapest")).alias("price_span")
+    return per_category.select(
+        "seller_id", "category", "reach.*", "money.*", span, "service.*", "late"
     )
 
 
@@ -46,20 +63,23 @@ def seller_kpis(per_category: DataFrame) -> DataFrame:
     spans two categories counts twice in ``n_orders``; ``pct_delayed`` divides
     late items by those orders and may exceed one.
     """
-    return per_category.groupBy("seller_id").agg(
-        F.sum("cnt_orders").alias("n_orders"),
-        F.sum("cnt_products").alias("n_products"),
+    added = {"n_orders": "reach.orders", "n_products": "reach.products", "revenue": "money.revenue"}
+    averaged = {"avg_price": "money.mean_price"} | {k: f"service.{k}" for k in SERVICE.values()}
+    folded = per_category.groupBy("seller_id").agg(
+        *[F.sum(source).alias(kpi) for kpi, source in added.items()],
+        *[F.avg(source).alias(kpi) for kpi, source in averaged.items()],
         F.count("category").alias("n_categories"),
-        F.avg("avg_price").alias("avg_price"),
-        F.sum("revenue").cast("double").alias("revenue"),
-        (F.max("max_price") - F.min("min_price")).alias("price_range"),
-        F.avg("avg_shipping").alias("avg_shipping"),
-        F.avg("avg_score").alias("avg_score"),
-        F.avg("avg_distance").alias("avg_distance"),
-        F.try_divide(
-            F.sum("n_delayed").cast("double"), F.sum("cnt_orders").cast("double")
-        ).alias("pct_delayed"),
+        F.struct(F.max("money.dearest").alias("top"), F.min("money.cheapest").alias("low")).alias("_p"),
+        F.sum("late").cast("double").alias("_late"),
+    )
+    whole = folded.withColumns(
+        {
+            "revenue": F.col("revenue").cast("double"),
+            "price_range": F.col("_p.top") - F.col("_p.low"),
+            "pct_delayed": F.try_divide("_late", F.col("n_orders").cast("double")),
+        }
     )
+    return whole.select("seller_id", *KPI_COLUMNS)
 
 
 def complete_cases(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
