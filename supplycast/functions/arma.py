@@ -99,7 +99,7 @@ def innovations(x, ar, ma, horizon=0):
                 root = np.linalg.cholesky(
                     filtered[:, within] - step @ step.swapaxes(1, 2)
                 )
-                settled = b > 2 and float(np.abs(root - before).max()) < 1e-14
+                settled = b > 2 and float(np.abs(root - before).max()) < 1e-13
                 inverse = np.linalg.inv(root) if settled else None
             carried = (step @ error[..., None])[..., 0]
             link = filtered[:, across]
@@ -144,7 +144,7 @@ def _maximise(w, order, period, rounds: int = 60) -> np.ndarray:
     if order[-1]:
         params[-1] = w.mean()
     e = _scaled(w, [params], order, period)[0]
-    damping = 1e-2
+    damping, flat = 1e-2, 0
     for _ in range(rounds):
         jac = _slopes(w, params, order, period)
         normal, grad = jac.T @ jac, jac.T @ e
@@ -157,10 +157,12 @@ def _maximise(w, order, period, rounds: int = 60) -> np.ndarray:
                 e_trial = _scaled(w, [trial], order, period)[0]
                 if e_trial @ e_trial <= e @ e:
                     step = np.abs(trial - params).max() / max(1.0, np.abs(params).max())
+                    flat = flat + 1 if e @ e - e_trial @ e_trial <= 1e-10 * (e @ e) else 0
                     params, e, damping = trial, e_trial, max(damping / 5, 1e-12)
                     break
             damping *= 4
-        if step is None or step < 1e-11:
+        # on a ridge of equal likelihoods the steps need not shrink
+        if step is None or step < 1e-11 or flat == 3:
             break
     return params
 

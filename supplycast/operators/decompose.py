@@ -254,3 +254,100 @@ def dominant_period(df: DataFrame, keys: list[str], value: str = "value") -> Dat
         F.col("best.power").alias("power"),
         (F.col("n") / F.col("best.k")).alias("period"),
     )
+
+
+def _levinson(state: Column, lag: Column) -> Column:
+    """Fold step of the Levinson-Durbin recursion over the autocorrelations ``_r`` (from lag 1).
+
+    The state holds the latest coefficients, the error variance as a share of that of the series, and
+    both for every order so far.
+    """
+    a, v = state["a"], state["v"]
+    past = F.slice(F.col("_r"), F.lit(1), lag - 1)
+    carried = array_total(F.zip_with(a, F.reverse(past), lambda x, y: x * y))
+    k = F.when(v > 1e-12, (F.element_at("_r", lag) - carried) / v).otherwise(0.0)
+    now = F.concat(F.zip_with(a, F.reverse(a), lambda x, y: x - k * y), F.array(k))
+    left = v * (1 - k * k)
+    fits = F.concat(state["fits"], F.array(F.struct(now.alias("a"), left.alias("v"))))
+    return F.struct(now.alias("a"), left.alias("v"), fits.alias("fits"))
+
+
+def autoregressive_spectrum(
+    df: DataFrame,
+    keys: list[str],
+    frequencies: int = 500,
+    least: float = 10.0,
+    value: str = "value",
+) -> DataFrame:
+    """Dominant period by the spectral density of an autoregression of the detrended series.
+
+    Autocorrelations give the Yule-Walker coefficients of all orders up to ``10 log10 n`` by one fold;
+    the order with the least AIC is kept and its density taken at ``frequencies`` equal steps from 0 to
+    one half.  ``period`` is the nearest whole period of the largest density; where that lies at
+    frequency 0, it is the one of the largest density from the first rise on.  It is 1 where the largest
+    density does not exceed ``least``, never rises again or does so up to one half.  Series with fewer than four values or without variation have NULL.
+    """
+    series = Window.partitionBy(*keys)
+    y, t = F.col(value).cast("double"), F.col("t").cast("double")
+    b = F.try_divide(F.covar_pop(y, t).over(series), F.var_pop(t).over(series))
+    line = F.avg(y).over(series) + F.coalesce(b, F.lit(0.0)) * (t - F.avg(t).over(series))
+    packed = pack(df.withColumn("_rest", y - line), keys, "_rest")
+    n = F.size("ys")
+    size = n.cast("double")
+    most = F.least(n - 1, F.floor(10 * F.log10(size)).cast("int"))
+
+    def product(lag: Column) -> Column:
+        ahead = F.slice(F.col("ys"), lag + 1, n - lag)
+        near = F.slice(F.col("ys"), F.lit(1), n - lag)
+        return array_total(F.zip_with(near, ahead, lambda u, v: u * v))
+
+    square = array_total(F.transform("ys", lambda v: v * v))
+    usable = (n >= 4) & ~F.exists("ys", lambda v: v.isNull()) & (square > 1e-9 * size)
+    lags = F.sequence(F.lit(1), F.greatest(most, F.lit(1)))
+    scored = packed.select(*keys, n.alias("n"), "ys", square.alias("_s")).where(usable)
+    scored = scored.withColumn("_r", F.transform(lags, lambda k: product(k) / F.col("_s")))
+    empty = F.array().cast("array<double>")
+    none = F.struct(empty.alias("a"), F.lit(1.0).alias("v"))
+    start = F.struct(empty.alias("a"), F.lit(1.0).alias("v"), F.array(none).alias("fits"))
+    fits = F.aggregate(lags, start, _levinson, lambda s: s["fits"])
+    aic = F.transform(fits, lambda f, i: F.struct(
+        (F.col("n") * F.ln(F.greatest(f["v"], F.lit(1e-12))) + 2 * i).alias("aic"),
+        i.alias("order"), f["a"].alias("a"), f["v"].alias("v"),
+    ))
+    chosen = scored.withColumn("_b", F.array_min(aic))
+
+    def density(i: Column) -> Column:
+        angle = math.pi * i / (frequencies - 1)
+        order = F.sequence(F.lit(1), F.size("_b.a"))
+        terms = F.when(F.size("_b.a") > 0, F.zip_with("_b.a", order, lambda a, j: F.struct(
+            (a * F.cos(angle * j)).alias("re"), (a * F.sin(angle * j)).alias("im"))))
+        real = 1 - F.coalesce(array_total(F.transform(terms, lambda x: x["re"])), F.lit(0.0))
+        imag = F.coalesce(array_total(F.transform(terms, lambda x: x["im"])), F.lit(0.0))
+        return F.col("_b.v") / (real * real + imag * imag)
+
+    points = chosen.withColumn(
+        "_d", F.transform(F.sequence(F.lit(0), F.lit(frequencies - 1)), density)
+    )
+    indices = F.sequence(F.lit(1), F.lit(frequencies - 1))
+
+    def highest(since: Column) -> Column:
+        """First index of the largest density from an index on."""
+        heights = F.transform("_d", lambda d, i: F.struct(d.alias("d"), (-i).alias("i")))
+        return -F.array_max(F.filter(heights, lambda h: -h["i"] >= since))["i"]
+
+    rises = F.filter(indices, lambda i: F.get("_d", i) > F.get("_d", i - 1))
+    found = points.withColumns({"_top": highest(F.lit(0)), "_up": F.array_min(rises)})
+    later = highest(F.col("_up"))
+    peak = F.when(F.col("_top") > 0, F.col("_top")).when(later < frequencies - 1, later)
+    spread = F.col("_s") / (F.col("n") - F.col("_b.order") - 1)
+    found = found.withColumns({"_peak": peak, "_high": spread * F.get("_d", "_top")})
+    period = F.when(
+        F.col("_high") > least, F.floor(2.0 * (frequencies - 1) / F.col("_peak") + 0.5)
+    )
+    out = found.select(
+        *keys,
+        F.col("_b.order").alias("ar_order"),
+        F.col("_high").alias("density"),
+        F.coalesce(period.cast("int"), F.lit(1)).alias("period"),
+    )
+    return packed.select(*keys, n.alias("n")).join(out, keys, "left")

@@ -443,3 +443,33 @@ def test_ljung_box_of_a_daily_series(spark):
     got = {r["series_id"]: r for r in diagnose.ljung_box(packed, ["series_id"], 365).collect()}
     assert got["ar"]["lag"] == 500 and got["ar"]["p_value"] == pytest.approx(0.0, abs=1e-12)
     assert 0.001 < got["white"]["p_value"] < 0.999
+
+
+def test_autoregressive_spectrum(spark):
+    rng = np.random.default_rng(11)
+    quarter = [30 * math.sin(2 * math.pi * t / 12) + 0.5 * t + rng.normal(0, 3) for t in range(96)]
+    walk = np.cumsum(rng.normal(size=120) * 5).tolist()
+    series = {
+        "year": quarter, "walk": walk, "const": [7.0] * 24, "short": [1.0, 5.0, 2.0],
+        "gaps": [1.0, None, 3.0, 4.0, 8.0, 2.0], "small": rng.normal(0, 0.1, 60).tolist(),
+    }
+    out = by_id(decompose.autoregressive_spectrum(series_frame(spark, series), ID))
+    assert set(out) == set(series)
+    assert out["year"]["period"] == 12
+    assert out["small"]["period"] == 1
+    assert out["const"]["period"] is None and out["short"]["period"] is None
+    assert out["gaps"]["period"] is None
+    # coefficients by solving the Yule-Walker system at the chosen order
+    x = np.array(quarter) - np.polyval(np.polyfit(np.arange(96), quarter, 1), np.arange(96))
+    r = np.array([x[: 96 - k] @ x[k:] for k in range(25)]) / (x @ x)
+    aic = []
+    for p in range(20):
+        lags = np.abs(np.subtract.outer(np.arange(p), np.arange(p)))
+        a = np.linalg.solve(r[lags], r[1 : p + 1]) if p else np.zeros(0)
+        aic.append((96 * np.log(1 - a @ r[1 : p + 1]) + 2 * p, p, a))
+    _, p, a = min(aic, key=lambda c: c[:2])
+    assert out["year"]["ar_order"] == p
+    angle = np.pi * np.arange(500) / 499
+    gain = np.abs(1 - np.exp(-1j * np.outer(angle, np.arange(1, p + 1))) @ a) ** 2
+    density = (x @ x) / (96 - p - 1) * (1 - a @ r[1 : p + 1]) / gain
+    assert out["year"]["density"] == pytest.approx(density.max(), rel=1e-6)

@@ -109,33 +109,44 @@ placed AS (
 
 PLACED = [ORDERS, ITEMS, ITEM_ORDERS, LOGISTICS, PLACES]
 
-PER_CATEGORY = """
-pc AS (
-  SELECT seller_id, coalesce(category, 'nao_informada') AS category,
-    count(DISTINCT product_id) AS cnt_products, count(DISTINCT order_id) AS cnt_orders,
-    CAST(sum(money) AS DOUBLE) / count(price) AS avg_price,
-    min(price) AS min_price, max(price) AS max_price, max(price) - min(price) AS price_range,
-    CAST(sum(money) AS DOUBLE) AS revenue, avg(days_shipping) AS avg_shipping,
-    CAST(sum(CAST(delayed_shipping AS INTEGER)) AS BIGINT) AS n_delayed,
-    avg(review_score) AS avg_score, avg(distance) AS avg_distance
-  FROM placed LEFT JOIN prod USING (product_id)
-  GROUP BY 1, 2)"""
-
-
-def seller_level(source: str) -> str:
-    return f"""
-  SELECT seller_id, CAST(sum(cnt_orders) AS BIGINT) AS n_orders,
-    CAST(sum(cnt_products) AS BIGINT) AS n_products, count(category) AS n_categories,
-    avg(avg_price) AS avg_price, CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
-    max(max_price) - min(min_price) AS price_range, avg(avg_shipping) AS avg_shipping,
-    avg(avg_score) AS avg_score, avg(avg_distance) AS avg_distance,
-    CAST(sum(n_delayed) AS DOUBLE) / CAST(sum(cnt_orders) AS DOUBLE) AS pct_delayed
-  FROM {source} GROUP BY 1"""
-
-
+SHELVES = """
+goods AS MATERIALIZED (
+  SELECT placed.*, coalesce(category, 'nao_informada') AS shelf
+  FROM placed LEFT JOIN prod USING (product_id)),
+ord_reach AS (
+  SELECT seller_id, shelf, count(order_id) AS orders
+  FROM (SELECT DISTINCT seller_id, shelf, order_id FROM goods) GROUP BY ALL),
+prod_reach AS (
+  SELECT seller_id, shelf, count(product_id) AS products
+  FROM (SELECT DISTINCT seller_id, shelf, product_id FROM goods) GROUP BY ALL),
+shelf_kpi AS (
+  SELECT seller_id, shelf, CAST(sum(money) AS DECIMAL(18,2)) AS earned,
+    CAST(earned AS DOUBLE) / count(price) AS ticket, arg_min(price, price) AS cheapest,
+    arg_max(price, price) AS dearest, avg(distance) AS way, avg(review_score) AS score,
+    avg(days_shipping) AS wait,
+    CASE WHEN count(delayed_shipping) > 0 THEN count_if(delayed_shipping) END AS late
+  FROM goods GROUP BY ALL),
+shelves AS MATERIALIZED (
+  SELECT * FROM shelf_kpi JOIN ord_reach USING (seller_id, shelf)
+  JOIN prod_reach USING (seller_id, shelf))"""
+
+#: KPI -> how the rows of a seller's shelves make it
+FROM_SHELVES = {
+    "avg_distance": "avg(way)",
+    "avg_price": "avg(ticket)",
+    "avg_score": "avg(score)",
+    "avg_shipping": "avg(wait)",
+    "n_categories": "count(*)",
+    "n_orders": "CAST(sum(orders) AS BIGINT)",
+    "n_products": "CAST(sum(products) AS BIGINT)",
+    "pct_delayed": "CAST(sum(late) AS DOUBLE) / CAST(sum(orders) AS DOUBLE)",
+    "price_range": "max(dearest) - min(cheapest)",
+    "revenue": "CAST(sum(earned) AS DOUBLE)",
+}
+_SELLERS = ", ".join(f"{rule} AS {name}" for name, rule in FROM_SHELVES.items())
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in KPI_COLUMNS)
-KPIS = f"kpi AS (SELECT * FROM ({seller_level('pc')}) WHERE {_COMPLETE})"
-KPI = [*PLACED, PRODUCTS, PER_CATEGORY, KPIS]
+KPIS = f"kpi AS (SELECT * FROM (SELECT seller_id, {_SELLERS} FROM shelves GROUP BY 1) WHERE {_COMPLETE})"
+KPI = [*PLACED, PRODUCTS, SHELVES, KPIS]
 
 
 def facts(keys: str, grain: str = "day", source: str = "io", more: str = "") -> str:
@@ -371,10 +382,10 @@ FROM (SELECT *, {trailing(3)} AS f FROM monthly) WHERE f IS NOT NULL""",
 
 query(
     "seller_category_kpis",
-    [*PLACED, PRODUCTS, PER_CATEGORY],
-    f"""SELECT seller_id, category, cnt_products, cnt_orders, {q4("avg_price")} AS avg_price,
-  min_price, max_price, price_range, revenue, {q4("avg_shipping")} AS avg_shipping, n_delayed,
-  {q4("avg_score")} AS avg_score, {q4("avg_distance")} AS avg_distance FROM pc""",
+    [*PLACED, PRODUCTS, SHELVES],
+    f"""SELECT seller_id, shelf AS category, orders, products, CAST(earned AS DOUBLE) AS revenue,
+  {q4("ticket")} AS mean_price, cheapest, dearest, dearest - cheapest AS price_span, {q4("wait")} AS avg_shipping,
+  {q4("score")} AS avg_score, {q4("way")} AS avg_distance, late FROM shelves""",
 )
 query(
     "seller_kpis",
@@ -1305,6 +1316,52 @@ query(
 )
 
 
+SPECTRUM = [
+    *SELLER_HOLT[:6],
+    """line AS (SELECT seller_id, regr_slope(y, t) AS g, avg(y) AS my, avg(t) AS mt FROM obs GROUP BY 1)""",
+    """pk AS (
+  SELECT seller_id, list(y - my - g * (t - mt) ORDER BY t) AS x, CAST(count(*) AS INTEGER) AS n
+  FROM obs JOIN line USING (seller_id) GROUP BY 1)""",
+    """ac AS MATERIALIZED (
+  SELECT seller_id, n, list_sum(list_transform(x, lambda u: u * u)) AS s,
+    least(n - 1, CAST(floor(10 * log10(n)) AS INTEGER)) AS most,
+    list_transform(range(1, most + 1), lambda k:
+      list_sum(list_transform(range(1, n - k + 1), lambda i: x[i] * x[i + k])) / s) AS r
+  FROM pk)""",
+    """lev AS (
+  SELECT seller_id, 0 AS k, CAST([] AS DOUBLE[]) AS a, 1.0::DOUBLE AS v FROM ac
+  UNION ALL
+  SELECT seller_id, k + 1, list_append(list_transform(range(1, k + 1), lambda j:
+    a[j] - q * a[k + 1 - j]), q), v * (1 - q * q)
+  FROM (SELECT lev.*, (r[k + 1] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j:
+      a[j] * r[k + 1 - j])), 0)) / v AS q
+    FROM lev JOIN ac USING (seller_id) WHERE k < most))""",
+    """pick AS (
+  SELECT seller_id, any_value(n) AS n, any_value(s) AS s,
+    arg_min({'k': k, 'a': a, 'v': v}, {'aic': n * ln(greatest(v, 1e-12)) + 2 * k, 'k': k}) AS b
+  FROM lev JOIN ac USING (seller_id) GROUP BY 1)""",
+    """dens AS (
+  SELECT seller_id, n, b.k AS k, i, s * b.v / (n - b.k - 1)
+    / (pow(1 - coalesce(list_sum(list_transform(range(1, b.k + 1), lambda j: b.a[j] * cos(pi() * i / 499 * j))), 0), 2)
+     + pow(coalesce(list_sum(list_transform(range(1, b.k + 1), lambda j: b.a[j] * sin(pi() * i / 499 * j))), 0), 2)) AS d
+  FROM (SELECT *, unnest(range(0, 500)) AS i FROM pick))""",
+    """rise AS (
+  SELECT *, count_if(up) OVER (PARTITION BY seller_id ORDER BY i) > 0 AS risen
+  FROM (SELECT *, d > lag(d) OVER (PARTITION BY seller_id ORDER BY i) AS up FROM dens))""",
+    """tops AS (
+  SELECT seller_id, any_value(n) AS n, any_value(k) AS k, max(d) AS high,
+    arg_max(i, {'d': d, 'i': -i}) AS top, arg_max(i, {'d': d, 'i': -i}) FILTER (WHERE risen) AS later
+  FROM rise GROUP BY 1)""",
+]
+query(
+    "ar_spectrum",
+    SPECTRUM,
+    f"""SELECT seller_id, n, k AS ar_order, {q4("high")} AS density,
+  CASE WHEN high <= 10 THEN 1 WHEN top > 0 THEN CAST(floor(998 / top + 0.5) AS INTEGER)
+    WHEN later < 499 THEN CAST(floor(998 / later + 0.5) AS INTEGER) ELSE 1 END AS period FROM tops""",
+)
+
+
 def damped_search(key: str, points: int = 9, rounds: int = 4) -> list[str]:
     """``fit(key, n, alpha, beta, l0, b0)`` and the run ``path(key, t, y, f, level, trend, sse)``.
 

@@ -373,10 +373,10 @@ def forecast_vs_actual(spark, folder):
 
 @query
 def seller_category_kpis(spark, folder):
-    per_category = kpi.seller_category_kpis(kpi_items(spark, folder))
+    shelves = kpi.flat(kpi.seller_category_kpis(kpi_items(spark, folder)))
     return cut(
-        per_category.withColumn("revenue", F.col("revenue").cast("double")),
-        "avg_price", "avg_shipping", "avg_score", "avg_distance",
+        shelves.withColumn("revenue", F.col("revenue").cast("double")),
+        "mean_price", *kpi.SERVICE.values(),
     )
 
 
@@ -742,6 +742,13 @@ def stl_decompose(spark, folder):
     return decompose.stl_decompose(monthly(spark, folder), CLUSTER, 12)
 
 
+@query
+def ar_spectrum(spark, folder):
+    """Dominant period by the autoregressive spectrum, per seller."""
+    out = decompose.autoregressive_spectrum(seller_monthly(spark, folder), ["seller_id"])
+    return cut(out, "density")
+
+
 @query
 def dominant_period(spark, folder):
     return cut(decompose.dominant_period(monthly(spark, folder), CLUSTER), "power", "period")
