@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add, and_
 
 import numpy as np
 import pandas as pd
@@ -165,34 +167,70 @@ def fourier_terms(t: Column, freq: float, k: int) -> dict[str, Column]:
     return terms
 
 
+def _solved(rows: Column, size: int) -> Column:
+    """Solution of normal equations given as rows with the right side last, by elimination.
+
+    A term that the earlier ones already span has no pivot left and gets the coefficient 0.
+    """
+
+    def step(m: Column, k: Column) -> Column:
+        lead = F.get(m, k)
+        pivot = F.get(lead, k)
+        usable = pivot > 1e-11 * F.get(F.get(rows, k), k)
+
+        def reduced(row: Column, i: Column) -> Column:
+            factor = F.get(row, k) / pivot
+            return (
+                F.when((i == k) & usable, F.transform(row, lambda v: v / pivot))
+                .when(i == k, F.transform(row, lambda v: F.lit(0.0)))
+                .when(usable, F.zip_with(row, lead, lambda v, w: v - factor * w))
+                .otherwise(row)
+            )
+
+        return F.transform(m, reduced)
+
+    done = F.aggregate(F.sequence(F.lit(0), F.lit(size - 1)), rows, step)
+    return F.transform(done, lambda row: F.element_at(row, -1))
+
+
 def fourier_decompose(
     df: DataFrame, keys: list[str], freq: float, k: int, value: str = "value"
 ) -> DataFrame:
     """Least squares on a line and ``k`` Fourier pairs.
 
-    Trend is the line, season the Fourier part, remainder the residual.
+    Trend is the line, season the Fourier part, remainder the residual.  The normal equations are sums
+    over the rows of a series, solved in one fold.  Terms that a short series cannot tell from earlier
+    ones are left out; a series without values has NULL parts.
     """
+    y, t = F.col(value).cast("double"), F.col("t").cast("double")
     terms = fourier_terms(F.col("t").cast("double"), freq, k)
-    names = list(terms)
-    design = df.select(*keys, "t", "ds", F.col(value).cast("double").alias("data"), *[
-        term.alias(name) for name, term in terms.items()
-    ])
-    parts = ["trend", "season", "remainder"]
-    schema = T.StructType(
-        design.schema.fields + [T.StructField(p, T.DoubleType()) for p in parts]
+    basis = [F.lit(1.0), t, *terms.values()]
+    size = len(basis)
+    data = F.when(~F.isnan(y), y)
+    rows = df.select(*keys, "t", "ds", data.alias("data"))
+    known = rows.where("data IS NOT NULL").select(
+        *keys, *[b.alias(f"_x{i}") for i, b in enumerate(basis)], F.col("data").alias(f"_x{size}")
+    )
+    products = [
+        F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"_s{i}_{j}")
+        for i in range(size)
+        for j in range(i, size + 1)
+    ]
+    sums = known.groupBy(*keys).agg(*products)
+    system = F.array(*[
+        F.array(*[F.col(f"_s{min(i, j)}_{max(i, j)}") for j in range(size + 1)])
+        for i in range(size)
+    ])
+    series = sums.select(*[F.col(c).alias(f"_k_{c}") for c in keys], system.alias("_m"))
+    series = series.withColumn("_c", _solved(F.col("_m"), size)).drop("_m")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+    parts = [F.get("_c", F.lit(i)) * b for i, b in enumerate(basis)]
+    whole = rows.join(series, same, "left").withColumns(
+        {"trend": parts[0] + parts[1], "season": reduce(add, parts[2:])}
+    )
+    return whole.withColumn("remainder", F.col("data") - F.col("trend") - F.col("season")).select(
+        *keys, "t", "ds", "data", "trend", "season", "remainder"
     )
-
-    def fit(series: pd.DataFrame) -> pd.DataFrame:
-        y = series["data"].to_numpy(float)
-        x = np.column_stack([np.ones(len(y)), series[["t", *names]].to_numpy(float)])
-        known = ~np.isnan(y)
-        if not known.any():
-            return series.assign(trend=np.nan, season=np.nan, remainder=np.nan)
-        coef = np.linalg.lstsq(x[known], y[known], rcond=None)[0]
-        trend, season = x[:, :2] @ coef[:2], x[:, 2:] @ coef[2:]
-        return series.assign(trend=trend, season=season, remainder=y - trend - season)
-
-    return design.groupBy(*keys).applyInPandas(fit, schema).drop(*names)
 
 
 def stl_decompose(

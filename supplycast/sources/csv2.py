@@ -72,13 +72,15 @@ def read_csv2(
     row_number: bool = False,
     date_format: str = DATE_FORMAT,
     timestamp_format: str = TIMESTAMP_FORMAT,
+    partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Read with a declared schema; a header or value that does not fit fails.
 
     With ``row_number`` the first column is a nameless row counter and is
-    skipped; the header check is then positional.
+    skipped; the header check is then positional.  ``partition_by`` names the
+    text columns that stand in the folder names below ``path``.
     """
-    names = ([ROW_NUMBER] if row_number else []) + schema.names
+    names = ([ROW_NUMBER] if row_number else []) + schema.names + list(partition_by)
     raw = T.StructType([T.StructField(name, T.StringType()) for name in names])
     text = (
         spark.read.schema(raw)
@@ -89,7 +91,8 @@ def read_csv2(
         .option("enforceSchema", row_number)
         .csv(path)
     )
-    return text.select(*[_parse(f, date_format, timestamp_format) for f in schema.fields])
+    columns = [_parse(f, date_format, timestamp_format) for f in schema.fields]
+    return text.select(*columns, *partition_by)
 
 
 def write_csv2(

@@ -473,3 +473,28 @@ def test_autoregressive_spectrum(spark):
     gain = np.abs(1 - np.exp(-1j * np.outer(angle, np.arange(1, p + 1))) @ a) ** 2
     density = (x @ x) / (96 - p - 1) * (1 - a @ r[1 : p + 1]) / gain
     assert out["year"]["density"] == pytest.approx(density.max(), rel=1e-6)
+
+
+def test_fourier_matches_least_squares_with_gaps_and_short_series(spark):
+    rng = np.random.default_rng(3)
+    whole = rng.normal(size=60).tolist()
+    gaps = [None if t % 7 == 3 else v for t, v in enumerate(whole)]
+    series = {"whole": whole, "gaps": gaps, "none": [None] * 9, "two": [4.0, 6.0], None: whole}
+    rows = decompose.fourier_decompose(series_frame(spark, series), ID, 12, 3).collect()
+    assert len(rows) == 60 * 3 + 9 + 2
+    t = np.arange(1, 61)
+    design = np.column_stack(
+        [np.ones(60), t, *[f(2 * np.pi * i * t / 12) for i in (1, 2, 3) for f in (np.sin, np.cos)]]
+    )
+    for name in ("whole", "gaps", None):
+        y = np.array(series[name], float)
+        known = ~np.isnan(y)
+        coef = np.linalg.lstsq(design[known], y[known], rcond=None)[0]
+        mine = sorted((r for r in rows if r["series_id"] == name), key=lambda r: r["t"])
+        assert [r["trend"] for r in mine] == pytest.approx(design[:, :2] @ coef[:2], abs=1e-8)
+        assert [r["season"] for r in mine] == pytest.approx(design[:, 2:] @ coef[2:], abs=1e-8)
+        assert all((r["remainder"] is None) == (r["data"] is None) for r in mine)
+    assert all(r["trend"] is None and r["season"] is None for r in rows if r["series_id"] == "none")
+    # two points are met by the line alone
+    assert [r["season"] for r in rows if r["series_id"] == "two"] == pytest.approx([0, 0])
+    assert [r["remainder"] for r in rows if r["series_id"] == "two"] == pytest.approx([0, 0], abs=1e-9)

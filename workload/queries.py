@@ -163,15 +163,10 @@ def _written_series(spark, frame, date_format):
     csv2.write_csv2(
         frame, path, row_number="t", date_format=date_format, partition_by=("cluster",)
     )
-    parts = []
-    labels = frame.select("cluster").distinct().orderBy("cluster")  # a file for each, so few
-    for (label,) in labels.collect():
-        one = csv2.read_csv2(
-            spark, f"{path}/cluster={label}", schemas.SERIES, row_number=True,
-            date_format=date_format,
-        )
-        parts.append(one.withColumn("cluster", F.lit(label)))
-    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+    return csv2.read_csv2(
+        spark, path, schemas.SERIES, row_number=True, date_format=date_format,
+        partition_by=("cluster",),
+    )
 
 
 @query
