@@ -34,9 +34,9 @@ def scaled_series(dense: DataFrame, keys: list[str], metrics: list[str]) -> Data
     )
 
 
-def profile_sellers(items: DataFrame, k: int = 3) -> DataFrame:
+def profile_sellers(items: DataFrame, k: int = 3, tasks: int | None = None) -> DataFrame:
     """KPIs and k-means label per seller with complete KPIs."""
-    kpis = kpi.complete_cases(kpi.seller_kpis(kpi.seller_category_kpis(items)))
+    kpis = kpi.complete_cases(kpi.seller_kpis(kpi.seller_category_kpis(items, tasks)))
     return cluster.kmeans_labels(cluster.with_vector(kpis), k)
 
 
@@ -67,14 +67,15 @@ def compare_models(
 
 
 def forecast_by_profile(
-    items: DataFrame, sales: DataFrame, horizon: int = 4, k: int = 3
+    items: DataFrame, sales: DataFrame, horizon: int = 4, k: int = 3, tasks: int | None = None
 ) -> DataFrame:
     """Forecast of monthly orders per supplier profile, with the growth verdict.
 
     ``items`` carries the features of the KPIs; ``sales`` the same rows with
     only seller, date and price, so that the series need none of their joins.
+    ``tasks`` is the number of partitions of the KPI step.
     """
-    labels = materialize(profile_sellers(items, k).select("seller_id", "cluster"), "labels")
+    labels = materialize(profile_sellers(items, k, tasks).select("seller_id", "cluster"), "labels")
     labelled = features.with_cluster(sales, labels).where("cluster IS NOT NULL")
     daily = clean_daily(labelled, CLUSTER)
     dense = spine.densify(facts.monthly_rollup(daily, CLUSTER), CLUSTER, "month")

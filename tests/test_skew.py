@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -78,6 +80,44 @@ def test_kpis(items, frame):
     assert got["pct_delayed"].to_numpy() == pytest.approx(share)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _deals(plan):
+    """Keys of the shuffles to seven partitions, in a plan where these are asked for."""
+    found = re.findall(r"hashpartitioning\(([^()]*), 7\), REPARTITION_BY_NUM", plan)
+    return [re.findall(r"(\w+)#", keys) for keys in found]
+
+
+def test_no_distinct_count_holds_every_item_of_a_join_task(items):
+    """No item is held once for each distinct count, and items are dealt out before they are counted."""
+    plan = _plan(kpi.seller_category_kpis(items, 7))
+    assert "Expand" not in plan
+    assert sorted(_deals(plan)) == [["seller_id", "category", "order_id"], ["seller_id", "category", "product_id"]]
+
+
+def test_shelves_without_seller_or_category(items, frame):
+    odd = items.withColumns(
+        {
+            "category": F.when(F.col("category") != "auto", F.col("category")),
+            "seller_id": F.when(F.col("seller_id") % 5 != 0, F.col("seller_id")),
+            "order_id": F.when(F.col("order_id") % 3 != 0, F.col("order_id")),
+        }
+    )
+    got = kpi.flat(kpi.seller_category_kpis(odd)).toPandas()
+    want = odd.select("seller_id", "category", "order_id", "product_id", "price").toPandas()
+    none = {"seller_id": -1, "category": "none"}
+    got, want = got.fillna(none), want.fillna(none)
+    want = want.groupby(["seller_id", "category"]).agg(
+        orders=("order_id", "nunique"), products=("product_id", "nunique"), price=("price", "sum")
+    )
+    got = got.set_index(["seller_id", "category"]).reindex(want.index)
+    assert got["orders"].tolist() == want["orders"].tolist()
+    assert got["products"].tolist() == want["products"].tolist()
+    assert got["revenue"].astype(float).to_numpy() == pytest.approx(want["price"].to_numpy())
+
+
 def test_join_of_a_hot_order_keeps_every_item(spark, items, frame):
     orders = spark.range(1, 2000).select(
         F.col("id").alias("order_id"), (F.col("id") % 9).alias("customer_id")
