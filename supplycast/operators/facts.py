@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supplycast.functions.stats import money_sum
+from supplycast.operators.dealing import dealt
 
 METRICS = ["orders", "avg_price", "revenue"]
 TRUNC = {"day": "DD", "week": "WEEK", "month": "MM"}
@@ -25,15 +26,22 @@ def period_facts(
     day: str = "dt_purchase",
     grain: str = "day",
     distinct_orders: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Items, price ratio and revenue per period and key.
 
     ``orders`` counts items and ``avg_price`` divides by all rows, so a missing
-    price stays in the denominator; ``mean_price`` leaves it out.
+    price stays in the denominator; ``mean_price`` leaves it out.  For
+    ``distinct_orders`` the items are dealt out to ``tasks`` partitions first,
+    because an aggregation per order keeps nearly every item of its task.
     """
     revenue = money_sum(F.col("price")).cast("double")
     extra = [F.countDistinct("order_id").alias("n_orders")] if distinct_orders else []
-    return items.groupBy(period(day, grain).alias("ds"), *keys).agg(
+    when = period(day, grain).alias("ds")
+    if distinct_orders:
+        items = items.select(when, *keys, "order_id", "order_item_id", "price")
+        items, when = dealt(items, ["ds", *keys, "order_id"], tasks), F.col("ds")
+    return items.groupBy(when, *keys).agg(
         F.count("order_item_id").cast("double").alias("orders"),
         F.try_divide(revenue, F.count("order_id").cast("double")).alias("avg_price"),
         F.try_divide(revenue, F.count("price").cast("double")).alias("mean_price"),

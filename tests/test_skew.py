@@ -135,6 +135,11 @@ def test_facts_and_distinct_orders(items, frame):
     assert row["d"] == frame.groupby(["seller_id", "dt_purchase"])["order_id"].nunique().sum()
 
 
+def test_distinct_orders_are_counted_after_the_deal(items):
+    plan = _plan(facts.period_facts(items, ["seller_id"], distinct_orders=True, tasks=7))
+    assert _deals(plan) == [["ds", "seller_id", "order_id"]]
+
+
 def test_quantiles_with_a_value_that_repeats(items, frame):
     got = quantiles.exact_quantiles(items, ["category"], "price", quantiles.QUARTILES)
     for row in got.collect():
