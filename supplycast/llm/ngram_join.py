@@ -226,15 +226,26 @@ def shared_groups(sketched: DataFrame) -> DataFrame:
     )
 
 
+def _folded(a: Column) -> Column:
+    """A sketch at half its length; distances of folded sketches are no larger."""
+    half = F.try_divide(F.size(a), F.lit(2)).cast("int")
+    return F.zip_with(F.slice(a, 1, half), F.slice(a, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+
+
+def _short(sizes: DataFrame) -> DataFrame:
+    """Sets with their sketches folded twice, to a quarter of their length, one word at least."""
+    for _ in range(2):
+        sketch = F.col("s.sketch")
+        half = F.when(F.size(sketch) > 1, _folded(sketch)).otherwise(sketch)
+        sizes = sizes.select("set_id", F.struct(F.col("s.n").alias("n"), half.alias("sketch")).alias("s"))
+    return sizes
+
+
 def _distance(x: Column, y: Column) -> Column:
     """Hamming distance of two sketches, the longer one folded to the length of the shorter."""
 
     def fold(a: Column, b: Column) -> Column:
-        half = F.try_divide(F.size(a), F.lit(2)).cast("int")
-        folded = F.zip_with(
-            F.slice(a, 1, half), F.slice(a, half + 1, half), lambda p, q: p.bitwiseXOR(q)
-        )
-        return F.when(F.size(a) > F.size(b), folded).otherwise(a)
+        return F.when(F.size(a) > F.size(b), _folded(a)).otherwise(a)
 
     bits = F.zip_with(fold(x, y), fold(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
     return F.aggregate(bits, F.lit(0), lambda acc, b: acc + b)
@@ -382,6 +393,12 @@ def _star_pairs(rows: DataFrame, size: DataFrame, number: int) -> DataFrame:
         .select(F.least("set_id", "p.set_id").alias("a"), F.greatest("set_id", "p.set_id").alias("b"))
         .distinct()
     )
+    # most pairs fail already by the short sketches, and only the others carry a whole one
+    return _near(_near(pairs, _short(size)), size)
+
+
+def _near(pairs: DataFrame, size: DataFrame) -> DataFrame:
+    """Pairs that sizes and sketches do not rule out."""
     left = size.select(F.col("set_id").alias("a"), F.col("s").alias("x"))
     right = size.select(F.col("set_id").alias("b"), F.col("s").alias("y"))
     return pairs.join(left, "a").join(right, "b").where(_may_link("x", "y")).select("a", "b")
@@ -391,14 +408,15 @@ def _all_pairs(rows: DataFrame, size: DataFrame) -> DataFrame:
     """Pairs of one group that are still unconnected and may be similar."""
     # a pair of several groups is compared in the first of them
     groups = rows.groupBy("set_id").agg(F.collect_list("group_key").alias("groups"))
-    rows = rows.join(groups, "set_id").join(size, "set_id")
+    rows = rows.join(groups, "set_id").join(_short(size), "set_id")
     columns = ("set_id", "label", "s", "groups")
     left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in columns])
     right = rows.select("group_key", *[F.col(c).alias(f"{c}_b") for c in columns])
     first = F.array_min(F.array_intersect("groups_a", "groups_b"))
-    return (
+    pairs = (
         left.join(right, "group_key")
         .where("set_id_a < set_id_b AND label_a != label_b")
         .where(_may_link("s_a", "s_b") & (first == F.col("group_key")))
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
     )
+    return _near(pairs, size)

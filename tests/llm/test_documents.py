@@ -115,6 +115,26 @@ def test_ngram_join_awkward(awkward, nothing):
     assert ngram_join.similar_documents(nothing).count() == 0
 
 
+def test_ngram_join_short_sketches_are_no_farther_apart(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for number, words in enumerate((1, 2, 4, 16)):
+        x, y = rng.integers(-(2**63), 2**63, (2, words))
+        rows += [(2 * number, (9, x.tolist())), (2 * number + 1, (9, y.tolist()))]
+    sizes = spark.createDataFrame(rows, "set_id long, s struct<n: long, sketch: array<long>>")
+
+    def distances(df):
+        x, y = df.alias("x"), df.alias("y")
+        both = x.join(y, F.expr("x.set_id % 2 = 0 AND y.set_id = x.set_id + 1"))
+        d = ngram_join._distance(F.col("x.s.sketch"), F.col("y.s.sketch"))
+        out = both.select("x.set_id", F.size("x.s.sketch").alias("n"), d.alias("d")).collect()
+        return {r["set_id"]: (r["n"], r["d"]) for r in out}
+
+    whole, short = distances(sizes), distances(ngram_join._short(sizes))
+    assert [short[k][0] for k in sorted(short)] == [1, 1, 1, 4]
+    assert all(short[k][1] <= whole[k][1] for k in whole)
+
+
 def test_ngram_join_chain_of_edits(spark):
     """Each text resembles the next one only, so no pivot links them all."""
     words = [f"u{i}" for i in range(200)]
