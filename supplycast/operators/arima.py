@@ -23,6 +23,8 @@ SEASONAL = 0.64
 _NUMBERS = ("sigma2", "loglik", "aic", "aicc", "bic")
 _ESTIMATES = ("coefficients", "std_errors")
 _PATHS = ("residuals", "mean", "se")
+#: rows whose results a Python worker holds at a time
+SLICE = 250
 
 
 def candidates(most: int, season: bool) -> list[tuple[int, int, int, int, int]]:
@@ -46,15 +48,18 @@ def _added(df: DataFrame, fields: list[T.StructField], one_row) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [one_row(r) for r in batch.itertuples()]
-            extra = pd.DataFrame(found, index=batch.index).reindex(columns=names)
-            extra = extra.astype(object).where(extra.notna(), None)
-            yield pd.concat([batch, extra], axis=1)
+            for start in range(0, len(batch), SLICE):
+                part = batch.iloc[start : start + SLICE]
+                found = [one_row(r) for r in part.itertuples()]
+                extra = pd.DataFrame(found, index=part.index).reindex(columns=names)
+                extra = extra.astype(object).where(extra.notna(), None)
+                yield pd.concat([part, extra], axis=1)
 
     return df.mapInPandas(run, T.StructType(df.schema.fields + fields))
 
 
-def _estimated(rows: DataFrame, freq: int) -> DataFrame:
+def _estimated(rows: DataFrame, freq: int, horizon: int | None = None) -> DataFrame:
+    """Fitted rows; with a horizon also their residuals and forecasts, by the same Python worker."""
     fields = [
         T.StructField("reason", T.StringType()),
         *_doubles(_NUMBERS, False),
@@ -62,9 +67,15 @@ def _estimated(rows: DataFrame, freq: int) -> DataFrame:
     ]
 
     def one_row(r) -> dict:
-        return arma.fit(r.ys, *(getattr(r, c) for c in SHAPE), freq, r.constant)
+        shape = [getattr(r, c) for c in SHAPE]
+        found = arma.fit(r.ys, *shape, freq, r.constant)
+        if horizon is None or found.get("coefficients") is None:
+            return found
+        estimates = found["coefficients"], found["sigma2"]
+        return found | arma.predict(r.ys, *shape, freq, r.constant, *estimates, horizon)
 
-    return _added(rows, fields, one_row)
+    paths = [] if horizon is None else _doubles(_PATHS, True)
+    return _added(rows, fields + paths, one_row)
 
 
 def _extended(fits: DataFrame, freq: int, horizon: int) -> DataFrame:
@@ -103,7 +114,7 @@ def fixed(
     """One given order for every series; those it does not fit keep their row, with a ``reason``."""
     shape = {c: F.lit(v) for c, v in zip(SHAPE, (*order, *season))}
     rows = packed.withColumns({**shape, "constant": F.lit(int(constant)), "n_candidates": F.lit(1)})
-    return _named(_extended(_estimated(rows, freq), freq, horizon))
+    return _named(_estimated(rows, freq, horizon))
 
 
 def search(

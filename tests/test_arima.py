@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import series_frame
+from pyspark.sql import types as T
 
 from supplycast.functions import arma
 from supplycast.operators import arima, spine
@@ -191,3 +193,23 @@ def test_boxcox_keeps_zeros_at_positive_exponents(spark):
             assert r["back"] == pytest.approx(r["y"])
         else:
             assert r["back"] is None
+
+
+def test_fixed_order_takes_one_python_pass_in_slices(spark):
+    """A second pass doubles the Python workers of a task, a whole batch their results."""
+    rows = [(k, [float((k * t) % 7 + t) for t in range(12)], 12) for k in range(3)]
+    packed = spark.createDataFrame(rows, "k int, ys array<double>, last_t int")
+    fit = arima.fixed(packed, 2, (1, 0, 0))
+    plan = fit._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+    sizes = []
+
+    class Frame:
+        def mapInPandas(self, run, schema):
+            batch = pd.DataFrame({"k": range(3 * arima.SLICE + 1)})
+            sizes.extend(len(part) for part in run(iter([batch])))
+
+        schema = T.StructType([T.StructField("k", T.LongType())])
+
+    arima._added(Frame(), [T.StructField("x", T.DoubleType())], lambda r: {"x": 1.0})
+    assert sizes == [arima.SLICE] * 3 + [1]
