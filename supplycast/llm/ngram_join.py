@@ -12,6 +12,12 @@ Equal keys only make candidates.  They are compared first by a folded sketch (di
 not similar) and then by the sets themselves.  Inside a group of equal keys each set is compared with
 one pivot; what is joined by verified links needs no further comparison, and only sets of one group that
 are still unconnected are compared with each other.
+
+In a crowded group the sets near a pivot P, common to many groups, are compared by their differences from
+it: X for P ^ x.  As x ^ y equals X ^ Y, similar x and y have (|X| + |Y| - D) / 2 items of X and Y in
+common.  Where this asks for none, both are similar to P and linked with it; else X and Y share one of
+their rarest items, so many near copies of one text, each with changes of its own, make few pairs.  Sets
+far from P cannot be similar to those close to it and are compared pair by pair.
 """
 
 from __future__ import annotations
@@ -32,6 +38,12 @@ TOP, BOTTOM = 4, 5
 BLOCKS_PER_SHINGLE, LEAST_BLOCKS = 0.36, 32
 #: rounds that compare with one pivot of each group before the rest is compared pair by pair
 STAR_ROUNDS = 1
+#: in larger groups the sets near a pivot are compared by their differences from it, not pair by pair
+CROWD = 256
+#: most that a set near a pivot differs from it, as a share of the pivot's size
+NEAR = 1.0
+#: classes of differences by size, for each size of a pivot
+CLASSES = 32
 _U = np.uint64
 
 
@@ -328,8 +340,18 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     # sketches stay out of the groups, where a set of many groups would repeat its own in each
     lengths = size.select("set_id", F.col("s.n").alias("n"))
     rows = materialize(shared_groups(known).join(lengths, "set_id"), "shared")
-    rows = rows.withColumn("label", F.col("set_id"))
+    crowds = rows.groupBy("group_key").agg(F.count(F.lit(1)).alias("members"))
+    crowds = materialize(crowds.where(F.col("members") > CROWD).select("group_key"), "crowds")
     links = None
+    if not crowds.isEmpty():
+        spokes = materialize(_spokes(rows.join(crowds, "group_key", "left_semi")), "spokes")
+        near = materialize(_differences(spokes, docs, ids, size), "differences")
+        to_pivot = near.where("linked").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"))
+        found = _link(_near(_near(_difference_pairs(near), _short(size)), size), docs, ids, "crowds")
+        links = to_pivot.unionAll(found)
+        rows = rows.join(crowds, "group_key", "left_anti").select("group_key", "set_id", "n")
+        rows = materialize(rows.unionAll(_far(spokes, near)), "shared")
+    rows = rows.withColumn("label", F.col("set_id"))
     for number in range(STAR_ROUNDS + 1):
         pairs = _star_pairs(rows, size, number) if number < STAR_ROUNDS else _all_pairs(rows, size)
         found = _link(pairs, docs, ids, f"round-{number}")
@@ -377,13 +399,116 @@ def _unconnected(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return materialize(labelled.join(several, "group_key", "left_semi"), "unconnected")
 
 
+def _spokes(rows: DataFrame) -> DataFrame:
+    """Rows with a pivot, the set of their group that is in most of the groups."""
+    spread = rows.groupBy("set_id").agg(F.count(F.lit(1)).alias("groups"))
+    pivots = (
+        rows.join(spread, "set_id")
+        .groupBy("group_key")
+        .agg(F.max_by(F.struct("set_id", "n"), F.struct("groups", "set_id")).alias("p"))
+    )
+    return rows.join(pivots, "group_key").select(
+        "group_key", "set_id", "n", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("p_n")
+    )
+
+
+def _differences(spokes: DataFrame, docs: DataFrame, ids: DataFrame, size: DataFrame) -> DataFrame:
+    """Sets near their pivot, with the ``items`` that stand in one of both only."""
+    pairs = spokes.where("set_id != pivot").drop("group_key").distinct()
+    left = size.select("set_id", F.col("s.sketch").alias("u"))
+    right = size.select(F.col("set_id").alias("pivot"), F.col("s.sketch").alias("v"))
+    most = F.floor(F.col("p_n") * NEAR)
+    pairs = pairs.join(left, "set_id").join(right, "pivot").where(_distance(F.col("u"), F.col("v")) <= most)
+    pairs = materialize(pairs.drop("u", "v"), "near-pivots")
+    wanted = pairs.select(F.explode(F.array("set_id", "pivot")).alias("set_id")).distinct()
+    sets = materialize(_shingle_sets(docs, ids, wanted), "crowd-sets")
+    left = sets.select("set_id", F.col("shingles").alias("x"))
+    right = sets.select(F.col("set_id").alias("pivot"), F.col("shingles").alias("y"))
+    items = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
+    found = pairs.join(left, "set_id").join(right, "pivot").withColumn("items", items).drop("x", "y")
+    linked = F.size("items") * (TOP + BOTTOM) <= (F.col("n") + F.col("p_n")) * (BOTTOM - TOP)
+    return found.where(F.size("items") <= most).withColumn("linked", linked)
+
+
+def _differ(n: str) -> Column:
+    """Largest symmetric difference of a set of size ``n`` and a similar one of any size."""
+    largest = F.floor(F.col(n) * BOTTOM / TOP)
+    return F.floor((F.col(n) + largest) * (BOTTOM - TOP) / (BOTTOM + TOP))
+
+
+def _far(spokes: DataFrame, near: DataFrame) -> DataFrame:
+    """Rows whose set may be similar to one that is not near the pivot."""
+    inner = near.where(F.size("items") + _differ("n") <= F.floor(F.col("p_n") * NEAR))
+    outer = spokes.where("set_id != pivot").join(inner, ["set_id", "pivot"], "left_anti")
+    return outer.select("group_key", "set_id", "n")
+
+
+def _difference_pairs(near: DataFrame) -> DataFrame:
+    """Pairs of one pivot that may be similar though not connected through it.
+
+    Of two sets whose differences X and Y share so many items, the first |X| - common + 1 of X and the
+    like of Y share one, in any order for both; here the rarest come first, and those of one set only
+    are counted but not moved.  Sets linked with the pivot need no link with each other.  Differences are classed by size, since a prefix depends on both sizes.
+    """
+    items = near.select("pivot", "set_id", F.explode("items").alias("item"))
+    shared = items.groupBy("pivot", "item").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    ordered = (
+        items.join(shared, ["pivot", "item"])
+        .groupBy("pivot", "set_id")
+        .agg(F.array_sort(F.collect_list(F.struct("f", "item")))["item"].alias("common"))
+    )
+    width = F.greatest(F.floor(F.col("p_n") / CLASSES), F.lit(1))
+    sized = (
+        near.select(
+            "pivot",
+            "set_id",
+            F.when(F.col("linked"), F.col("pivot")).otherwise(F.col("set_id")).alias("label"),
+            F.size("items").alias("size"),
+            width.alias("width"),
+            _differ("n").alias("differ"),
+        )
+        .join(ordered, ["pivot", "set_id"])
+        .withColumn("class", F.floor(F.col("size") / F.col("width")))
+    )
+    least = F.floor(F.greatest(F.col("size") - F.col("differ"), F.lit(0)) / F.col("width"))
+    most = F.floor((F.col("size") + F.col("differ")) / F.col("width"))
+    # items before the common ones are in no other difference
+    first = F.floor((F.col("size") - F.col("other") * F.col("width") + F.col("differ")) / 2) + 1
+    moved = first - (F.col("size") - F.size("common"))
+    rows = (
+        sized.withColumn("other", F.explode(F.sequence(least, most)))
+        .withColumn("moved", F.least(moved, F.size("common")).cast("int"))
+        .where("moved > 0")
+        .select(
+            "pivot", "set_id", "label", "class", "other", F.explode(F.slice("common", 1, F.col("moved"))).alias("item")
+        )
+    )
+    columns = ("set_id", "label")
+    keys = ["pivot", "item", "low", "high"]
+    left = rows.where("class <= other").select(
+        "pivot", "item", F.col("class").alias("low"), F.col("other").alias("high"),
+        *[F.col(c).alias(f"{c}_a") for c in columns],
+    )
+    right = rows.where("class >= other").select(
+        "pivot", "item", F.col("other").alias("low"), F.col("class").alias("high"),
+        *[F.col(c).alias(f"{c}_b") for c in columns],
+    )
+    return (
+        left.join(right, keys)
+        .where("label_a != label_b AND (low < high OR set_id_a < set_id_b)")
+        .select(F.least("set_id_a", "set_id_b").alias("a"), F.greatest("set_id_a", "set_id_b").alias("b"))
+        .distinct()
+    )
+
+
 def _star_pairs(rows: DataFrame, size: DataFrame, number: int) -> DataFrame:
     """Each set of a group with the group's pivot, if they are unconnected and may be similar.
 
-    The pivot is drawn by a hash for each group and round, so a set of many groups meets many pivots.
+    The pivot is drawn by a hash of the set, the same in all groups, so the groups of one text and its
+    near copies have few pivots among them and a set meets each of these once.
     """
     drawn = F.struct(
-        F.xxhash64("set_id", "group_key", F.lit(number)).alias("hash"),
+        F.xxhash64("set_id", F.lit(number)).alias("hash"),
         F.struct("set_id", "label", "n").alias("pivot"),
     )
     pivots = rows.groupBy("group_key").agg(F.min_by(drawn["pivot"], drawn["hash"]).alias("p"))

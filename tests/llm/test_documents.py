@@ -146,6 +146,45 @@ def test_ngram_join_chain_of_edits(spark):
     check_components(ngram_join.similar_documents(docs), texts)
 
 
+def near_copies(n, edits, seed):
+    """Copies of one text, each with some words of its own."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for copy in range(n):
+        words = list(base)
+        for place in rng.sample(range(150), rng.choice(edits)):
+            words[place] = rng.choice((f"own{copy}x{place}", f"common{place}"))
+        texts.append((copy, " ".join(words)))
+    return texts
+
+
+@pytest.mark.parametrize("crowd", [2, 20])
+def test_ngram_join_crowded_groups(spark, monkeypatch, crowd):
+    """Links inside and across the neighbourhood of a pivot, in groups of several texts."""
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    texts = near_copies(120, (0, 2, 4, 6, 8, 14), 1)
+    cut = [(200 + i, " ".join(texts[0][1].split()[: 150 - 6 * i])) for i in range(20)]
+    docs = spark.createDataFrame(texts + cut, "doc_id long, text string")
+    check_components(ngram_join.similar_documents(docs), texts + cut)
+
+
+def test_ngram_join_compares_few_pairs_of_near_copies(spark, monkeypatch):
+    """Twice the near copies that are too far apart to link do not make four times the pairs."""
+    made = []
+    near = ngram_join._near
+    monkeypatch.setattr(
+        ngram_join, "_near", lambda pairs, size: made.append(pairs.count()) or near(pairs, size)
+    )
+    totals = []
+    for n in (300, 600):
+        made.clear()
+        docs = spark.createDataFrame(near_copies(n, (5, 6), 2), "doc_id long, text string")
+        ngram_join.similar_documents(docs).count()
+        totals.append(sum(made))
+    assert totals[1] < 3 * totals[0] and totals[1] < 20 * 600
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 40)] + [(7, 7), (None, 3)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
