@@ -44,6 +44,8 @@ CROWD = 256
 NEAR = 1.0
 #: classes of differences by size, for each size of a pivot
 CLASSES = 32
+#: so many ids are broadcast to the texts, which are not moved for them
+SMALL_ROWS = 1_000_000
 _U = np.uint64
 
 
@@ -304,8 +306,12 @@ def _sets_of(batches):
 def _shingle_sets(docs: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
     """Shingles of the wanted sets, from the texts of one document of each."""
     which = ids.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
+    which = materialize(which, "first-documents")
+    few = which.select("doc_id").distinct()
+    if which.count() <= SMALL_ROWS:
+        few = F.broadcast(few)
     found = (
-        docs.join(which.select("doc_id").distinct(), "doc_id", "left_semi")
+        docs.join(few, "doc_id", "left_semi")
         .select("text")
         .mapInArrow(_sets_of, "set_id long, shingles array<long>")
     )
@@ -313,6 +319,7 @@ def _shingle_sets(docs: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFra
 
 
 def _link(pairs: DataFrame, docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """Pairs of similar sets, verified by the sets themselves."""
     pairs = materialize(pairs, f"{name}-candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
     sets = materialize(_shingle_sets(docs, ids, wanted), f"{name}-sets")
@@ -345,10 +352,10 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     links = None
     if not crowds.isEmpty():
         spokes = materialize(_spokes(rows.join(crowds, "group_key", "left_semi")), "spokes")
-        near = materialize(_differences(spokes, docs, ids, size), "differences")
+        near, sets = _differences(spokes, docs, ids, size)
         to_pivot = near.where("linked").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"))
-        found = _link(_near(_near(_difference_pairs(near), _short(size)), size), docs, ids, "crowds")
-        links = to_pivot.unionAll(found)
+        pairs = materialize(_near(_near(_difference_pairs(near), _short(size)), size), "crowds-candidates")
+        links = to_pivot.unionAll(materialize(verified(pairs, sets), "crowds-links"))
         rows = rows.join(crowds, "group_key", "left_anti").select("group_key", "set_id", "n")
         rows = materialize(rows.unionAll(_far(spokes, near)), "shared")
     rows = rows.withColumn("label", F.col("set_id"))
@@ -412,8 +419,10 @@ def _spokes(rows: DataFrame) -> DataFrame:
     )
 
 
-def _differences(spokes: DataFrame, docs: DataFrame, ids: DataFrame, size: DataFrame) -> DataFrame:
-    """Sets near their pivot, with the ``items`` that stand in one of both only."""
+def _differences(
+    spokes: DataFrame, docs: DataFrame, ids: DataFrame, size: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Sets near their pivot, with the ``items`` that stand in one of both only; the sets themselves."""
     pairs = spokes.where("set_id != pivot").drop("group_key").distinct()
     left = size.select("set_id", F.col("s.sketch").alias("u"))
     right = size.select(F.col("set_id").alias("pivot"), F.col("s.sketch").alias("v"))
@@ -427,7 +436,8 @@ def _differences(spokes: DataFrame, docs: DataFrame, ids: DataFrame, size: DataF
     items = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
     found = pairs.join(left, "set_id").join(right, "pivot").withColumn("items", items).drop("x", "y")
     linked = F.size("items") * (TOP + BOTTOM) <= (F.col("n") + F.col("p_n")) * (BOTTOM - TOP)
-    return found.where(F.size("items") <= most).withColumn("linked", linked)
+    near = found.where(F.size("items") <= most).withColumn("linked", linked)
+    return materialize(near, "differences"), sets
 
 
 def _differ(n: str) -> Column:
