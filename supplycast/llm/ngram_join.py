@@ -543,13 +543,14 @@ def _all_pairs(rows: DataFrame, size: DataFrame) -> DataFrame:
     """Pairs of one group that are still unconnected and may be similar."""
     # a pair of several groups is compared in the first of them
     groups = rows.groupBy("set_id").agg(F.collect_list("group_key").alias("groups"))
-    rows = rows.join(groups, "set_id").join(_short(size), "set_id")
+    rows = rows.join(groups.join(_short(size), "set_id"), "set_id")
     columns = ("set_id", "label", "s", "groups")
     left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in columns])
     right = rows.select("group_key", *[F.col(c).alias(f"{c}_b") for c in columns])
     first = F.array_min(F.array_intersect("groups_a", "groups_b"))
     pairs = (
-        left.join(right, "group_key")
+        # the rows are far larger here than the file whose size Spark goes by
+        left.join(right.hint("merge"), "group_key")
         .where("set_id_a < set_id_b AND label_a != label_b")
         .where(_may_link("s_a", "s_b") & (first == F.col("group_key")))
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
