@@ -44,6 +44,8 @@ CROWD = 256
 NEAR = 1.0
 #: classes of differences by size, for each size of a pivot
 CLASSES = 32
+#: smallest keys by which two sets are known to meet in several groups, for each set
+FIRST_GROUPS = 8
 #: so many ids are broadcast to the texts, which are not moved for them
 SMALL_ROWS = 1_000_000
 _U = np.uint64
@@ -165,8 +167,16 @@ def _lists(values: np.ndarray, lengths) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int64)))
 
 
+_GROUPS = (
+    "key long, head long, more struct<hash_xor:long,hash_sum:long,n:long,members:array<long>>"
+)
+
+
 def _local_groups(batches):
-    """One row for each key of a batch with the distinct sets that have it."""
+    """One row for each key of a batch with the distinct sets that have it.
+
+    Most keys have one set, which says all, so they have no ``more``.
+    """
     for batch in batches:
         lists = batch.column("keys")
         keys = np.asarray(lists.flatten())
@@ -183,48 +193,39 @@ def _local_groups(batches):
         if not len(at):
             continue
         counts = np.diff(np.append(at, len(keys)))
-        hashes = tx.mix(sets.view(np.uint64) + _U(3))
-        low = np.add.reduceat((hashes & _U(0xFFFFFFFF)).astype(np.int64), at)
-        members = _lists(sets[~first], counts - 1)
+        # ids of sets are hashes themselves
+        more = {
+            "hash_xor": pa.array(np.bitwise_xor.reduceat(sets, at)),
+            "hash_sum": pa.array(np.add.reduceat(sets & 0xFFFFFFFF, at)),
+            "n": pa.array(counts.astype(np.int64)),
+            "members": _lists(sets[~first], counts - 1),
+        }
+        more = pa.StructArray.from_arrays(
+            list(more.values()), names=list(more), mask=pa.array(counts == 1)
+        )
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys[at]),
-                pa.array(sets[at]),
-                pa.array(np.bitwise_xor.reduceat(hashes, at).view(np.int64)),
-                pa.array(low),
-                pa.array(counts.astype(np.int64)),
-                _null_empty(members, counts),
-            ],
-            names=["key", "head", "hash_xor", "hash_sum", "n", "members"],
+            [pa.array(keys[at]), pa.array(sets[at]), more], names=["key", "head", "more"]
         )
 
 
-def _null_empty(members: pa.ListArray, counts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(
-        members.offsets, members.values, mask=pa.array(counts == 1)
-    )
-
-
 def shared_groups(sketched: DataFrame) -> DataFrame:
     """``(group_key, set_id)``: sets that share a key with another one.
 
     Sets of one batch are grouped before the shuffle, so a key of most sets arrives as one row per
     batch.  Keys with the same sets say the same, so one of them is kept.
     """
-    local = sketched.select("set_id", "keys").mapInArrow(
-        _local_groups,
-        "key long, head long, hash_xor long, hash_sum long, n long, members array<long>",
-    )
+    local = sketched.select("set_id", "keys").mapInArrow(_local_groups, _GROUPS)
     by_key = Window.partitionBy("key")
+    low = F.col("head").bitwiseAND(F.lit(0xFFFFFFFF))
     grouped = local.select(
         "key",
         "head",
-        "members",
+        F.col("more.members").alias("members"),
         F.min("head").over(by_key).alias("least"),
         F.max("head").over(by_key).alias("most"),
-        F.bit_xor("hash_xor").over(by_key).alias("hash_xor"),
-        F.sum("hash_sum").over(by_key).alias("hash_sum"),
-        F.sum("n").over(by_key).alias("n"),
+        F.bit_xor(F.coalesce("more.hash_xor", "head")).over(by_key).alias("hash_xor"),
+        F.sum(F.coalesce("more.hash_sum", low)).over(by_key).alias("hash_sum"),
+        F.sum(F.coalesce("more.n", F.lit(1))).over(by_key).alias("n"),
     ).where("least != most OR members IS NOT NULL")
     grouped = materialize(grouped, "groups")
     signature = ["least", "hash_xor", "hash_sum", "n"]
@@ -539,11 +540,20 @@ def _near(pairs: DataFrame, size: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_may_link("x", "y")).select("a", "b")
 
 
+def _pair_rows(rows: DataFrame, size: DataFrame) -> DataFrame:
+    """Rows of the groups with short sketches and the ``FIRST_GROUPS`` smallest groups of their sets."""
+    first = F.slice(F.array_sort(F.collect_list("group_key")), 1, FIRST_GROUPS)
+    groups = rows.groupBy("set_id").agg(first.alias("groups"))
+    return rows.select("group_key", "set_id", "label").join(groups.join(_short(size), "set_id"), "set_id")
+
+
 def _all_pairs(rows: DataFrame, size: DataFrame) -> DataFrame:
-    """Pairs of one group that are still unconnected and may be similar."""
-    # a pair of several groups is compared in the first of them
-    groups = rows.groupBy("set_id").agg(F.collect_list("group_key").alias("groups"))
-    rows = rows.join(groups.join(_short(size), "set_id"), "set_id")
+    """Pairs of one group that are still unconnected and may be similar.
+
+    A pair of several groups is compared in the first that both sets list; pairs without such a group
+    may come out of each of theirs.
+    """
+    rows = _pair_rows(rows, size)
     columns = ("set_id", "label", "s", "groups")
     left = rows.select("group_key", *[F.col(c).alias(f"{c}_a") for c in columns])
     right = rows.select("group_key", *[F.col(c).alias(f"{c}_b") for c in columns])
@@ -552,7 +562,8 @@ def _all_pairs(rows: DataFrame, size: DataFrame) -> DataFrame:
         # the rows are far larger here than the file whose size Spark goes by
         left.join(right.hint("merge"), "group_key")
         .where("set_id_a < set_id_b AND label_a != label_b")
-        .where(_may_link("s_a", "s_b") & (first == F.col("group_key")))
+        .where((F.coalesce(first, "group_key") == F.col("group_key")) & _may_link("s_a", "s_b"))
         .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
+        .distinct()
     )
     return _near(pairs, size)

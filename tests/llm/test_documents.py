@@ -185,6 +185,45 @@ def test_ngram_join_compares_few_pairs_of_near_copies(spark, monkeypatch):
     assert totals[1] < 3 * totals[0] and totals[1] < 20 * 600
 
 
+@pytest.mark.parametrize("first", [1, 8])
+def test_ngram_join_pair_rows_do_not_grow_with_the_groups(spark, monkeypatch, first):
+    """A set of many groups lists few of them in each, and every pair still comes out, once."""
+    monkeypatch.setattr(ngram_join, "FIRST_GROUPS", first)
+    rng = random.Random(4)
+    groups = [sorted(rng.sample(range(12), rng.randint(2, 6))) for _ in range(60)]
+    rows = spark.createDataFrame(
+        [(1000 + g, s, s) for g, members in enumerate(groups) for s in members],
+        "group_key long, set_id long, label long",
+    )
+    size = spark.createDataFrame(
+        [(s, (9, [5, 6])) for s in range(12)], "set_id long, s struct<n:long,sketch:array<long>>"
+    )
+    carried = ngram_join._pair_rows(rows, size)
+    assert carried.count() == rows.count()
+    assert carried.agg(F.max(F.size("groups"))).first()[0] == first
+    found = [tuple(r) for r in ngram_join._all_pairs(rows, size).collect()]
+    assert sorted(found) == sorted({(a, b) for g in groups for a in g for b in g if a < b})
+
+
+def test_ngram_join_groups_of_shared_keys(spark):
+    """Keys of one set are sent without a signature; groups are those of the plain definition."""
+    rng = random.Random(5)
+    lists = [(s * 0x9E3779B97F4A7C15 % 2**63 - 2**62, rng.sample(range(80), 4)) for s in range(40)]
+    sketched = spark.createDataFrame(lists, "set_id long, keys array<long>").repartition(3)
+    sent = sketched.mapInArrow(ngram_join._local_groups, ngram_join._GROUPS)
+    assert sent.where("more IS NULL").count() and sent.where("more IS NOT NULL AND more.n < 2").isEmpty()
+    expected = defaultdict(set)
+    for s, keys in lists:
+        for k in keys:
+            expected[k].add(s)
+    found = defaultdict(set)
+    for r in ngram_join.shared_groups(sketched).collect():
+        found[r["group_key"]].add(r["set_id"])
+    assert all(expected[k] == members for k, members in found.items())
+    plain = {frozenset(m) for m in expected.values() if len(m) > 1}
+    assert len(found) == len(plain) and {frozenset(m) for m in found.values()} == plain
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 40)] + [(7, 7), (None, 3)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
