@@ -17,7 +17,8 @@ In a crowded group the sets near a pivot P, common to many groups, are compared
 it: X for P ^ x.  As x ^ y equals X ^ Y, similar x and y have (|X| + |Y| - D) / 2 items of X and Y in
 common.  Where this asks for none, both are similar to P and linked with it; else X and Y share one of
 their rarest items, so many near copies of one text, each with changes of its own, make few pairs.  Sets
-far from P cannot be similar to those close to it and are compared pair by pair.
+far from P cannot be similar to those close to it and are compared pair by pair; where a group is still
+crowded then, its sets are joined on their rarest shingles, of which two similar sets share one.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ CROWD = 256
 NEAR = 1.0
 #: classes of differences by size, for each size of a pivot
 CLASSES = 32
+#: words of a sketch that are not folded away; shorter ones let too many pairs of small sets pass
+LEAST_WORDS = 4
 #: smallest keys by which two sets are known to meet in several groups, for each set
 FIRST_GROUPS = 8
 #: so many ids are broadcast to the texts, which are not moved for them
@@ -247,11 +250,11 @@ def _folded(a: Column) -> Column:
     return F.zip_with(F.slice(a, 1, half), F.slice(a, half + 1, half), lambda p, q: p.bitwiseXOR(q))
 
 
-def _short(sizes: DataFrame) -> DataFrame:
-    """Sets with their sketches folded twice, to a quarter of their length, one word at least."""
+def _short(sizes: DataFrame, least: int = 1) -> DataFrame:
+    """Sets with their sketches folded twice, to a quarter of their length, ``least`` words at least."""
     for _ in range(2):
         sketch = F.col("s.sketch")
-        half = F.when(F.size(sketch) > 1, _folded(sketch)).otherwise(sketch)
+        half = F.when(F.size(sketch) > least, _folded(sketch)).otherwise(sketch)
         sizes = sizes.select("set_id", F.struct(F.col("s.n").alias("n"), half.alias("sketch")).alias("s"))
     return sizes
 
@@ -355,13 +358,13 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
         spokes = materialize(_spokes(rows.join(crowds, "group_key", "left_semi")), "spokes")
         near, sets = _differences(spokes, docs, ids, size)
         to_pivot = near.where("linked").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"))
-        pairs = materialize(_near(_near(_difference_pairs(near), _short(size)), size), "crowds-candidates")
+        pairs = materialize(_near(_near(_difference_pairs(near), _short(size, LEAST_WORDS)), size), "crowds-candidates")
         links = to_pivot.unionAll(materialize(verified(pairs, sets), "crowds-links"))
         rows = rows.join(crowds, "group_key", "left_anti").select("group_key", "set_id", "n")
         rows = materialize(rows.unionAll(_far(spokes, near)), "shared")
     rows = rows.withColumn("label", F.col("set_id"))
     for number in range(STAR_ROUNDS + 1):
-        pairs = _star_pairs(rows, size, number) if number < STAR_ROUNDS else _all_pairs(rows, size)
+        pairs = _star_pairs(rows, size, number) if number < STAR_ROUNDS else _rest_pairs(rows, size, docs, ids)
         found = _link(pairs, docs, ids, f"round-{number}")
         links = found if links is None else links.unionAll(found)
         if number < STAR_ROUNDS:
@@ -530,7 +533,7 @@ def _star_pairs(rows: DataFrame, size: DataFrame, number: int) -> DataFrame:
         .distinct()
     )
     # most pairs fail already by the short sketches, and only the others carry a whole one
-    return _near(_near(pairs, _short(size)), size)
+    return _near(_near(pairs, _short(size, LEAST_WORDS)), size)
 
 
 def _near(pairs: DataFrame, size: DataFrame) -> DataFrame:
@@ -540,11 +543,60 @@ def _near(pairs: DataFrame, size: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(_may_link("x", "y")).select("a", "b")
 
 
+def _rest_pairs(rows: DataFrame, size: DataFrame, docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Pairs that the star rounds left: of crowded groups by rare shingles, of the others pair by pair."""
+    crowds = rows.groupBy("group_key").agg(F.count(F.lit(1)).alias("members"))
+    crowds = materialize(crowds.where(F.col("members") > CROWD).select("group_key"), "crowds-left")
+    if crowds.isEmpty():
+        return _all_pairs(rows, size)
+    crowded = rows.join(crowds, "group_key", "left_semi").select("set_id", "label", "n").distinct()
+    crowded = materialize(crowded, "crowded")
+    sets = materialize(_shingle_sets(docs, ids, crowded.select("set_id")), "crowded-sets")
+    rare = _near(_near(_rare_pairs(crowded.join(sets, "set_id")), _short(size, LEAST_WORDS)), size)
+    others = rows.join(crowds, "group_key", "left_anti")
+    return rare.unionAll(_all_pairs(others, size)).distinct()
+
+
+def _rare_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs of different labels that may be similar, from ``(set_id, label, n, shingles)``.
+
+    A similar set lacks at most a fifth of the shingles of a set, so both share one among the first fifth
+    and one more, in any order for both.  Here those of one label only come first, which are counted but
+    not moved, and then the rarest.
+    """
+    items = sets.select("set_id", "label", "n", F.explode("shingles").alias("item"))
+    shared = (
+        items.groupBy("item")
+        .agg(F.count(F.lit(1)).alias("f"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low != high")
+        .select("item", "f")
+    )
+    most = F.floor(F.col("n") * (BOTTOM - TOP) / BOTTOM)
+    rows = (
+        items.join(shared, "item")
+        .groupBy("set_id", "label", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("f", "item")))["item"].alias("common"))
+        .withColumn("moved", (most + 1 - F.col("n") + F.size("common")).cast("int"))
+        .where("moved > 0")
+        .select("set_id", "label", "n", F.explode(F.slice("common", 1, F.col("moved"))).alias("item"))
+    )
+    columns = ("set_id", "label", "n")
+    left = rows.select("item", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = rows.select("item", *[F.col(c).alias(f"{c}_b") for c in columns])
+    return (
+        left.join(right, "item")
+        .where("set_id_a < set_id_b AND label_a != label_b")
+        .where(_size_fits("n_a", "n_b"))
+        .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
+        .distinct()
+    )
+
+
 def _pair_rows(rows: DataFrame, size: DataFrame) -> DataFrame:
     """Rows of the groups with short sketches and the ``FIRST_GROUPS`` smallest groups of their sets."""
     first = F.slice(F.array_sort(F.collect_list("group_key")), 1, FIRST_GROUPS)
     groups = rows.groupBy("set_id").agg(first.alias("groups"))
-    return rows.select("group_key", "set_id", "label").join(groups.join(_short(size), "set_id"), "set_id")
+    return rows.select("group_key", "set_id", "label").join(groups.join(_short(size, LEAST_WORDS), "set_id"), "set_id")
 
 
 def _all_pairs(rows: DataFrame, size: DataFrame) -> DataFrame:

@@ -205,6 +205,66 @@ def test_ngram_join_pair_rows_do_not_grow_with_the_groups(spark, monkeypatch, fi
     assert sorted(found) == sorted({(a, b) for g in groups for a in g for b in g if a < b})
 
 
+def test_ngram_join_short_sketches_rule_out_unrelated_sets(spark):
+    """Small sets without a common shingle seldom pass by short sketches."""
+    words = [f"w{i}" for i in range(80 * 130)]
+    texts = [(i, " ".join(words[130 * i : 130 * i + 130])) for i in range(80)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sketched = docs.mapInArrow(ngram_join._sketched, ngram_join._SKETCHED)
+    size = sketched.select("set_id", F.struct(F.col("n_shingles").alias("n"), "sketch").alias("s"))
+    rows = size.select(F.lit(1).cast("long").alias("group_key"), "set_id", F.col("set_id").alias("label"))
+    x = ngram_join._pair_rows(rows, size).select("set_id", F.col("s").alias("x"))
+    y = x.select(F.col("set_id").alias("other"), F.col("x").alias("y"))
+    pairs = x.join(y, F.expr("set_id < other")).where(ngram_join._may_link("x", "y"))
+    assert pairs.count() < 0.01 * 80 * 79 / 2
+
+
+def test_ngram_join_common_passage(spark, monkeypatch):
+    """Texts with little more in common than a passage are not compared pair by pair."""
+    monkeypatch.setattr(ngram_join, "CROWD", 20)
+    passage = " ".join(f"p{i}" for i in range(45))
+    texts = [(i, f"{passage} " + " ".join(f"own{i // 2 if i < 20 else i}x{j}" for j in range(60))) for i in range(120)]
+    texts = [(i, t.replace(f"x{i % 2 + 50}", "changed")) for i, t in texts]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    most, groups = [], []
+    all_pairs, unconnected = ngram_join._all_pairs, ngram_join._unconnected
+
+    def largest(rows):
+        return rows.groupBy("group_key").count().agg(F.max("count")).first()[0] or 0
+
+    def compared(rows, size):
+        most.append(largest(rows))
+        return all_pairs(rows, size)
+
+    def left(rows, labels):
+        out = unconnected(rows, labels)
+        groups.append(largest(out))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_all_pairs", compared)
+    monkeypatch.setattr(ngram_join, "_unconnected", left)
+    found = ngram_join.similar_documents(docs)
+    check_components(found, texts)
+    assert groups[0] > 20 and most[0] <= 20
+
+
+def test_ngram_join_rare_pairs_are_complete(spark):
+    """Rare shingles give every similar pair of different labels, and few others."""
+    rng = random.Random(6)
+    sets = []
+    for family in range(12):
+        base = [family * 1000 + i for i in range(rng.randint(20, 60))]
+        for _ in range(5):
+            own = set(base) - set(rng.sample(base, rng.randint(0, 5)))
+            sets.append(own | {rng.randrange(10**6, 10**9) for _ in range(rng.randint(0, 5))} | set(range(-8, 0)))
+    rows = [(i, i % 7, len(s), list(s)) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "set_id long, label long, n long, shingles array<long>")
+    found = {tuple(r) for r in ngram_join._rare_pairs(frame).collect()}
+    pairs = [(a, b) for a in range(60) for b in range(a + 1, 60) if a % 7 != b % 7]
+    alike = {(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert alike and alike <= found and all(a // 5 == b // 5 for a, b in found)
+
+
 def test_ngram_join_groups_of_shared_keys(spark):
     """Keys of one set are sent without a signature; groups are those of the plain definition."""
     rng = random.Random(5)
