@@ -225,3 +225,69 @@ def test_hard_negatives_of_empty_tables(spark):
 def test_hard_negatives_equal_their_sql(spark, small):
     found = QUERIES["op13_hard_negatives"](spark, small)
     assert compare.differences(found, compare.connect(small), ORACLES["op13_hard_negatives"]) == []
+
+
+def test_hard_negatives_send_no_rows_through_the_driver(spark, monkeypatch):
+    """No step broadcasts, however small its files are; blocks that are repeated grow beyond them."""
+    plans, keep = [], hn.materialize
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(hn, "materialize", lambda df, name: plan(df) or keep(df, name))
+    rows = [(i, [float(i % 7), 1.0], i % 3, 1, "x") for i in range(50)]
+    plan(hn.hard_negatives(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 10 == 0))
+    assert len(plans) == 6 and not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize(("piece", "lane"), [(1, 1), (4, 3), (100, 100)])
+def test_blocks_of_rows_meet_blocks_of_anchors_once(spark, monkeypatch, piece, lane):
+    """Also of tasks with many and with few blocks; anchors come first, and cells are about even."""
+    monkeypatch.setattr(hn, "TASKS", 1)
+    monkeypatch.setattr(hn, "PIECE_BYTES", piece * hn.BLOCK_BYTES)
+    monkeypatch.setattr(hn, "LANE_BYTES", lane * hn.ANCHOR_BYTES)
+    row_blocks = [(t << 33) + k for t, n in ((0, 20), (3, 1), (5, 9)) for k in range(n)]
+    anchor_blocks = [(t << 33) + k for t in range(4) for k in range(2)]
+    row = "block long, vec_id binary, label binary, vectors binary"
+    rows = spark.createDataFrame([(b, b"", b"", b"") for b in row_blocks], row)
+    asked = [(b, b"", b"", b"", b"", b"") for b in anchor_blocks]
+    anchors = spark.createDataFrame(asked, f"{row}, anchor binary, wanted binary")
+    dealt = hn._meetings(rows, anchors).withColumn("task", F.spark_partition_id()).collect()
+    cells = {}
+    for r in dealt:
+        own = cells.setdefault(r.cell, ([], [], {r.task}))
+        own[2].add(r.task)
+        own[r.anchor is None].append(r.block)
+        assert r.anchor is None or not own[1]
+    met = sorted((a, b) for asks, found, _ in cells.values() for a in asks for b in found)
+    assert met == sorted((a, b) for a in anchor_blocks for b in row_blocks)
+    assert all(len(tasks) == 1 for *_, tasks in cells.values())
+    sizes = [len(found) for _, found, _ in cells.values()]
+    assert max(sizes) <= min(sizes) + 3 and max(sizes) <= max(piece + 2, 4)
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_rows_in_range_hold_the_first_of_each_question(monkeypatch, few):
+    """Ties, questions without rows and more in range than are kept, by either way."""
+    monkeypatch.setattr(hn, "FEW", few)
+    rng = np.random.default_rng(few)
+    scores, fits = rng.integers(-3, 4, (9, 40)), rng.random((9, 40)) < 0.7
+    low = rng.integers(-4, 3, (9, 3))
+    high = low + rng.integers(-1, 4, (9, 3))
+    question, place = hn._inside(scores, fits, low, high, 5)
+    assert len(set(zip(question, place, strict=True))) == len(question)
+    for row in range(9):
+        for q in range(3):
+            own = place[question == 3 * row + q]
+            inside = fits[row] & (scores[row] >= low[row, q]) & (scores[row] <= high[row, q])
+            assert inside[own].all()
+            first = sorted(np.flatnonzero(inside), key=lambda i: (-scores[row, i], i))[:5]  # noqa: B023
+            assert set(first) <= set(own)
+            assert len(own) == (len(first) if few == 0 else inside.sum())
+
+
+def test_hard_negatives_of_equal_vectors_and_negative_scores(spark):
+    """All rows tie in several tasks; anchors whose positives score below zero have no negatives."""
+    rows = [(i, [0.5, -0.25, 0.0], i % 3) for i in range(400)]
+    rows += [(1000 + i, [(-1.0) ** i, 0.0, 5.0 * (i - 1)], 7 + i % 2) for i in range(3)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in reversed(rows)], VECTORS).repartition(7)
+    got = hn.hard_negatives(df, F.col("vec_id") % 50 == 0).collect()
+    want = brute_negatives(rows, lambda i: i % 50 == 0)
+    assert sorted(tuple(r) for r in got) == want and len(want) == 8 * 25
