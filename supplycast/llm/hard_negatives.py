@@ -167,15 +167,16 @@ class _Cell:
         self.anchor, self.vec_id, self.label, self.wanted, self.vectors = (
             np.concatenate(x) for x in zip(*self.parts, strict=True)
         )
+        self.parts.clear()
         self.low, self.high = self.limits(self.wanted)
         self.scores = np.full((*self.wanted.shape, self.n), NONE)
         self.ids = np.zeros(self.scores.shape, np.int64)
 
     def meet(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> None:
-        if not self.parts:
-            return
-        if self.scores is None:
+        if self.parts:
             self.begin()
+        if self.scores is None:
+            return
         right = Residues.of(vectors.astype(np.int64), self.primes)
         for at in range(0, len(self.anchor), TILE):
             tile = slice(at, at + TILE)

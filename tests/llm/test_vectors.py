@@ -283,8 +283,10 @@ def test_rows_in_range_hold_the_first_of_each_question(monkeypatch, few):
             assert len(own) == (len(first) if few == 0 else inside.sum())
 
 
-def test_hard_negatives_of_equal_vectors_and_negative_scores(spark):
-    """All rows tie in several tasks; anchors whose positives score below zero have no negatives."""
+def test_hard_negatives_of_equal_vectors_and_negative_scores(spark, monkeypatch):
+    """All rows tie in several pieces and lanes; anchors with positives below zero have no negatives."""
+    for name, size in (("BLOCK", 20), ("ANCHOR", 2), ("PIECE", 60), ("LANE", 4)):
+        monkeypatch.setattr(hn, f"{name}_BYTES", 4 * 3 * size)
     rows = [(i, [0.5, -0.25, 0.0], i % 3) for i in range(400)]
     rows += [(1000 + i, [(-1.0) ** i, 0.0, 5.0 * (i - 1)], 7 + i % 2) for i in range(3)]
     df = spark.createDataFrame([(*r, 1, "x") for r in reversed(rows)], VECTORS).repartition(7)
